@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,11 +13,7 @@ from almenara.fixed_values import (
     LOCALITY_CORRECTIONS,
     PRIORITIES,
 )
-from almenara.functions.text import as_column, null_words, strip
-
-
-def _literal_map(table: Mapping[str, object]) -> Column:
-    return F.create_map(*[F.lit(x) for x in chain.from_iterable(table.items())])
+from almenara.functions.text import as_column, literal_map, null_words, strip
 
 
 def map_label(c: Column | str, labels: Mapping[str, str | None] = LABELS) -> Column:
@@ -26,7 +21,7 @@ def map_label(c: Column | str, labels: Mapping[str, str | None] = LABELS) -> Col
     c = as_column(c)
     known = {k: v for k, v in labels.items() if v is not None}
     missing = [k for k, v in labels.items() if v is None]
-    mapped = F.coalesce(_literal_map(known)[c], c) if known else c
+    mapped = F.coalesce(literal_map(known)[c], c) if known else c
     return F.when(~c.isin(*missing), mapped) if missing else mapped
 
 
@@ -51,7 +46,7 @@ def standard_code(
     s = F.upper(strip(as_column(c).cast("string")))
     digits = F.split_part(s, F.lit("."), F.lit(1)).try_cast("bigint")
     return F.when(s.rlike(r"^\d+(\.0+)?$"), digits).otherwise(
-        _literal_map(names)[s].cast("bigint")
+        literal_map(names)[s].cast("bigint")
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,57 +35,39 @@ def strip(c: Column | str) -> Column:
     return F.btrim(as_column(c), F.lit(WHITE_SPACE))
 
 
-def _substitute(c: Column, table: Mapping[str, str]) -> Column:
-    """Replace every key of ``table``, as one left-to-right pass would.
+def literal_map(table: Mapping[str, object]) -> Column:
+    return F.create_map(*[F.lit(x) for x in chain.from_iterable(table.items())])
 
-    Single characters go first, so what a sequence turns into is never
-    replaced again. A single character that can also end a sequence is only
-    replaced where the text before it does not make it part of that sequence.
-    Sequences follow in table order; ``check_order`` states what that needs.
-    """
-    sequences = [k for k in table if len(k) > 1]
-    singles = [k for k in table if len(k) == 1]
-    shared = {s: [q[: q.index(s)] for q in sequences if s in q[1:]] for s in singles}
-    free = [s for s in singles if not shared[s]]
-    if free:
-        c = F.translate(c, "".join(free), "".join(table[s] for s in free))
-    for s in singles:
-        if shared[s]:
-            behind = "|".join(re.escape(p) for p in shared[s])
-            c = F.regexp_replace(c, f"(?<!{behind}){re.escape(s)}", table[s])
-    for q in sequences:
-        c = F.replace(c, F.lit(q), F.lit(table[q]))
-    return c
 
-
-def check_order(table: Mapping[str, str]) -> None:
-    """Raise if replacing key after key could differ from a single pass."""
-    sequences = [k for k in table if len(k) > 1]
-    starts = {q[0] for q in sequences}
-    tails = {ch for q in sequences for ch in q[1:]}
-    for k, v in table.items():
-        if len(v) != 1 or v in starts:
-            raise ValueError(f"{k!r} -> {v!r}: must give one character that starts no sequence")
-        if len(k) == 1 and (k in starts or v in tails):
-            raise ValueError(f"{k!r} -> {v!r}: clashes with a sequence")
-    if starts & tails:
-        raise ValueError("sequences may overlap")
-    for i, q in enumerate(sequences):
-        for later in sequences[i + 1 :]:
-            if table[q] in later[1:]:
-                raise ValueError(f"{q!r} must come after {later!r}")
+def _ascii_repair(c: Column, table: Mapping[str, str]) -> Column:
+    """The table's ASCII keys, applied one after the other."""
+    keys = [k for k in table if k.isascii()]
+    if any(len(k) > 1 for k in keys) or any(table[k] in keys for k in keys):
+        raise ValueError("ASCII keys must be single characters that give no other key")
+    for k in keys:
+        c = F.replace(c, F.lit(k), F.lit(table[k]))
+    return c
 
 
 def repair_text(c: Column | str, table: Mapping[str, str] = TEXT_REPAIR) -> Column:
-    """One repair pass over a text.
+    """One repair pass: at each place the first key of the table that fits is
+    replaced, and what it turns into is not looked at again.
 
-    Pure ASCII cells, the bulk of any file, skip all but the ASCII keys.
+    The text is cut into keys and the stretches between them, the keys are
+    looked up, and all is joined again. Pure ASCII cells, the bulk of any file,
+    and cells without a character that starts a key skip that work.
     """
-    check_order(table)
     c = as_column(c)
-    ascii_keys = {k: v for k, v in table.items() if k.isascii()}
-    is_ascii = F.octet_length(c) == F.length(c)
-    return F.when(is_ascii, _substitute(c, ascii_keys)).otherwise(_substitute(c, table))
+    starts = re.escape("".join(dict.fromkeys(k[0] for k in table)))
+    keys = "|".join(re.escape(k) for k in table)
+    pieces = F.regexp_extract_all(c, F.lit(f"{keys}|[^{starts}]++|[{starts}]"), F.lit(0))
+    known = literal_map(table)
+    repaired = F.array_join(F.transform(pieces, lambda p: F.coalesce(known[p], p)), "")
+    return (
+        F.when(F.octet_length(c) == F.length(c), _ascii_repair(c, table))
+        .when(~c.rlike(f"[{starts}]"), c)
+        .otherwise(repaired)
+    )
 
 
 def repair_columns(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:

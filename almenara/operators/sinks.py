@@ -37,16 +37,23 @@ def write_partitioned(
     partition_columns: Sequence[str],
     mode: str = "overwrite",
     refresh_only: bool = False,
-    rebalance: bool = True,
+    tasks: int | None = None,
 ) -> str:
     """One directory per key combination.
 
-    Rows are first gathered by key, so a directory gets few files; adaptive
-    execution splits keys too big for one task. Switch ``rebalance`` off for
-    rows already grouped by these keys. ``refresh_only`` overwrites only the
+    Rows are first gathered by key, so a directory gets few files. By default
+    adaptive execution sizes the writing tasks: it merges small keys and splits
+    keys too big for one task. That suits many rows; for few rows over many
+    directories, where creating files is the work, ``tasks`` sets how many
+    tasks share the directories out. ``refresh_only`` overwrites only the
     directories the new rows fall into.
     """
-    rows = df.hint("rebalance", *partition_columns) if rebalance else df
+    if tasks:
+        # hashed keys: on the plain keys of a grouped table the optimizer would
+        # drop this exchange and merge the directories into one task
+        rows = df.repartition(tasks, F.xxhash64(*partition_columns))
+    else:
+        rows = df.hint("rebalance", *partition_columns)
     writer = rows.write.mode(mode).partitionBy(*partition_columns)
     if refresh_only:
         writer = writer.option("partitionOverwriteMode", "dynamic")

@@ -67,9 +67,10 @@ def standardize(
 def rejects(
     raw: DataFrame, formats: Sequence[tuple[str, str | None]] = TIMESTAMP_FORMATS
 ) -> DataFrame:
-    """Raw rows whose code, age or date holds a value that cannot be read.
+    """Raw rows with a code, age or date that holds a value nothing can read.
 
-    ``MOTIVOS`` lists the columns at fault. The raw values are kept as given.
+    One row per such cell: the raw columns as given, and ``MOTIVO``, the name
+    of the column at fault.
     """
     require_columns(raw, REQUIRED_COLUMNS)
     readers = {
@@ -77,12 +78,13 @@ def rejects(
         "EDAD": lenient_int,
         TIMESTAMP_COLUMN: lambda c: parse_timestamp(repair_text(c), formats),
     }
-    given = {c: F.col(c).cast("string") for c in readers}
-    texts = raw.withColumns({f"__{c}": standard_text(v) for c, v in given.items()})
+    texts = raw.withColumns({f"__{c}": standard_text(F.col(c).cast("string")) for c in readers})
     texts = texts.withColumns({f"__{c}": repair_text(f"__{c}") for c in readers})
     faults = [
         F.when(~F.col(f"__{c}").isin(*DECLARED_MISSING) & read(F.col(f"__{c}")).isNull(), F.lit(c))
         for c, read in readers.items()
     ]
-    texts = texts.withColumn("MOTIVOS", F.array_compact(F.array(*faults)))
-    return texts.where(F.size("MOTIVOS") > 0).select(*raw.columns, "MOTIVOS")
+    # a generator, so that the null test below is not pushed into the texts'
+    # projections, where every reading would be worked out again
+    cells = texts.select(*raw.columns, F.stack(F.lit(len(faults)), *faults).alias("MOTIVO"))
+    return cells.where(F.col("MOTIVO").isNotNull())

@@ -228,8 +228,10 @@ def _report(part: str, from_cube: bool = False) -> Query:
         rows = prepare_incidents(incidents(spark, sf_dir))
         points = localities(spark, sf_dir)
         if from_cube:
-            return report(incident_cube(rows), points, REQUEST, weight="TOTAL")[part]
-        return report(rows, points, REQUEST)[part]
+            rows, weight = incident_cube(rows), "TOTAL"
+        else:
+            weight = None
+        return report(rows, points, REQUEST, weight, parts=[part])[part]
 
     return query
 
@@ -385,8 +387,7 @@ def clean_incidents(spark, sf_dir):
 
 
 def reject_rows(spark, sf_dir):
-    rows = rejects(raw_incidents(spark, sf_dir))
-    return rows.select("NUMERO_INCIDENTE", F.array_join("MOTIVOS", ",").alias("MOTIVOS"))
+    return rejects(raw_incidents(spark, sf_dir)).select("NUMERO_INCIDENTE", "MOTIVO")
 
 
 def csv_ingest(spark, sf_dir):

@@ -297,13 +297,11 @@ SELECT 'N' || CAST(o_orderkey AS VARCHAR) AS "NUMERO_INCIDENTE",
        list_extract({_DAYS_EN}, CAST(dayofweek(ts) AS INTEGER) + 1) AS "DIA_SEMANA_EN",
        {_day_es("ts")} AS "DIA_SEMANA"
 FROM typed""",
-    "rejects": f"""WITH {_RAW_DATES}, faults AS (
-  SELECT ' n' || CAST(o_orderkey AS VARCHAR) AS "NUMERO_INCIDENTE",
-         concat_ws(',', CASE WHEN c_nationkey = 4 THEN 'CODIGO_LOCALIDAD' END,
-                   CASE WHEN o_orderstatus = 'O' THEN 'EDAD' END,
-                   CASE WHEN written = 'none' THEN 'FECHA_INICIO_DESPLAZAMIENTO_MOVIL' END) AS "MOTIVOS"
-  FROM timed)
-SELECT * FROM faults WHERE "MOTIVOS" <> ''""",
+    "rejects": f"""WITH {_RAW_DATES}, named AS (
+  SELECT *, ' n' || CAST(o_orderkey AS VARCHAR) AS "NUMERO_INCIDENTE" FROM timed)
+SELECT "NUMERO_INCIDENTE", 'CODIGO_LOCALIDAD' AS "MOTIVO" FROM named WHERE c_nationkey = 4
+UNION ALL SELECT "NUMERO_INCIDENTE", 'EDAD' FROM named WHERE o_orderstatus = 'O'
+UNION ALL SELECT "NUMERO_INCIDENTE", 'FECHA_INICIO_DESPLAZAMIENTO_MOVIL' FROM named WHERE written = 'none'""",
     "csv_ingest": f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS "NUMERO_INCIDENTE",
        {_INGEST_TIME} AS "FECHA_INICIO_DESPLAZAMIENTO_MOVIL",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -51,34 +51,44 @@ def incident_cube(df: DataFrame) -> DataFrame:
     return A.totals(df, *[c for c in REPORT_COLUMNS if c in df.columns])
 
 
+def _heatmap_matrix(kept, localities, weight, top):
+    return A.weekday_hour_matrix(A.weekday_hour_totals(kept, weight, keep_nulls=False))
+
+
+def _hierarchy_totals(kept, localities, weight, top):
+    return A.hierarchy_totals(A.priority_type_totals(kept, weight, keep_nulls=False))
+
+
+#: report table -> how to make it from the filtered incidents
+REPORT_PARTS: dict[str, Callable[[DataFrame, DataFrame, str | None, int], DataFrame]] = {
+    "trend": lambda kept, loc, weight, top: A.daily_trend(kept, weight),
+    "heatmap": lambda kept, loc, weight, top: A.weekday_hour_totals(kept, weight, keep_nulls=False),
+    "heatmap_matrix": _heatmap_matrix,
+    "top_localities": lambda kept, loc, weight, top: A.top_totals(kept, "LOCALIDAD", top, weight),
+    "top_types": lambda kept, loc, weight, top: A.top_totals(kept, "TIPO_INCIDENTE", top, weight),
+    "hierarchy": lambda kept, loc, weight, top: A.priority_type_totals(kept, weight, keep_nulls=False),
+    "hierarchy_totals": _hierarchy_totals,
+    "map": lambda kept, loc, weight, top: map_points(kept, loc, weight=weight),
+    "map_has_points": lambda kept, loc, weight, top: map_has_points(map_points(kept, loc, weight=weight)),
+}
+
+
 def report(
     incidents: DataFrame,
     localities: DataFrame,
     request: ReportFilter = ReportFilter(),
     weight: str | None = None,
     top: int = 10,
+    parts: Iterable[str] = tuple(REPORT_PARTS),
 ) -> dict[str, DataFrame]:
-    """The report tables for one request, all lazy.
+    """The report tables for one request, each a lazy frame.
 
     On prepared incident rows each table is one scan of its own columns with
     the filter pushed down. For many requests over the same data pass a
     persisted ``incident_cube`` with ``weight="TOTAL"``.
     """
     kept = request.apply(incidents)
-    cells = A.weekday_hour_totals(kept, weight, keep_nulls=False)
-    leaves = A.priority_type_totals(kept, weight, keep_nulls=False)
-    points = map_points(kept, localities, weight=weight)
-    return {
-        "trend": A.daily_trend(kept, weight),
-        "heatmap": cells,
-        "heatmap_matrix": A.weekday_hour_matrix(cells),
-        "top_localities": A.top_totals(kept, "LOCALIDAD", top, weight),
-        "top_types": A.top_totals(kept, "TIPO_INCIDENTE", top, weight),
-        "hierarchy": leaves,
-        "hierarchy_totals": A.hierarchy_totals(leaves),
-        "map": points,
-        "map_has_points": map_has_points(points),
-    }
+    return {name: REPORT_PARTS[name](kept, localities, weight, top) for name in parts}
 
 
 class ReportSession:

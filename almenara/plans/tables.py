@@ -11,7 +11,7 @@ from almenara.functions.codes import lenient_int
 from almenara.functions.dates import safe_date
 from almenara.operators.aggregates import totals
 from almenara.operators.joins import map_totals
-from almenara.operators.sinks import compact, spread, write_parquet, write_partitioned
+from almenara.operators.sinks import compact, write_parquet, write_partitioned
 from almenara.operators.standardize import rejects, standardize
 from almenara.schema import AGGREGATE_TABLES
 from almenara.sources.csv_folder import read_csv_folder
@@ -80,9 +80,8 @@ def write_tables(
         columns = list((partition_by or {}).get(name, keys))
         table = totals(stored, *keys)
         if columns:
-            # few rows but many directories: share them out over all tasks
             width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            write_partitioned(spread(table, width, *columns), path, columns, total_mode, rebalance=False)
+            write_partitioned(table, path, columns, total_mode, tasks=width)
         else:
             write_parquet(compact(table), path, total_mode)
         paths[name] = path

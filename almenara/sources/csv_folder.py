@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from almenara.fixed_values import COLUMN_SYNONYMS, EXPECTED_COLUMNS
 from almenara.functions.text import strip
 from almenara.operators.clean import clean_cells, concat_tables, project_expected, unify_synonyms
+from almenara.sources.long_records import read_long_records
 
 DELIMITER = ";"
 
@@ -46,7 +47,17 @@ class FileGroup(NamedTuple):
 
     header: tuple[str, ...]
     encoding: str
-    multi_line: bool
+    mode: str
+
+
+#: no field runs over a line end: any file splits over tasks, line by line
+LINES = "lines"
+#: some do, and the file is small enough for one task
+WHOLE = "whole"
+#: some do, and the file is too large for one task
+LONG = "long"
+
+WHOLE_FILE_LIMIT = 256 * 1024 * 1024
 
 
 def known_names(
@@ -90,7 +101,7 @@ def _may_be_header(value: Column, names: Iterable[str]) -> Column:
 
 
 def profile_files(lines: DataFrame, names: Iterable[str]) -> DataFrame:
-    """One row per file: ``path, header, utf8, open_quote``.
+    """One row per file: ``path, header, utf8, open_quote, size``.
 
     ``lines`` is a text scan. The header candidate is a grouping key and all
     aggregates have fixed width, so this is a hash aggregation with map-side
@@ -101,6 +112,7 @@ def profile_files(lines: DataFrame, names: Iterable[str]) -> DataFrame:
         "value",
         F.col("_metadata.file_path").alias("path"),
         (F.col("_metadata.file_block_start") == 0).alias("head"),
+        F.col("_metadata.file_size").alias("size"),
         F.monotonically_increasing_id().alias("position"),
     )
     first_block = seen.select(
@@ -109,17 +121,20 @@ def profile_files(lines: DataFrame, names: Iterable[str]) -> DataFrame:
         F.when(F.col("head") & (strip(line) != ""), F.col("position")).alias("position"),
         F.is_valid_utf8(line).alias("utf8"),
         (F.contains(line, F.lit('"')) & line.rlike(OPEN_QUOTE)).alias("open_quote"),
+        "size",
     )
     per_header = first_block.groupBy("path", "header").agg(
         F.min("position").alias("position"),
         F.bool_and("utf8").alias("utf8"),
         F.bool_or("open_quote").alias("open_quote"),
+        F.max("size").alias("size"),
     )
     per_file = per_header.groupBy("path").agg(
         F.min("position").alias("position"),
         F.min_by("header", "position").alias("header"),
         F.bool_and("utf8").alias("utf8"),
         F.bool_or("open_quote").alias("open_quote"),
+        F.max("size").alias("size"),
     )
     latin = F.decode(F.col("header").cast("binary"), "ISO-8859-1")
     return per_file.where("position is not null").select(
@@ -127,46 +142,65 @@ def profile_files(lines: DataFrame, names: Iterable[str]) -> DataFrame:
         F.when(F.col("utf8"), F.col("header")).otherwise(latin).alias("header"),
         "utf8",
         "open_quote",
+        "size",
     )
 
 
-def group_files(profile: DataFrame) -> dict[FileGroup, list[str]]:
-    """Paths per (header, encoding, line mode), from the profile rows."""
+def group_files(profile: DataFrame, whole_file_limit: int) -> dict[FileGroup, list[str]]:
+    """Paths per (header, encoding, reading mode), from the profile rows."""
     groups: dict[FileGroup, list[str]] = defaultdict(list)
     for row in profile.toLocalIterator():
-        key = FileGroup(
-            header_names(row.header), "UTF-8" if row.utf8 else "ISO-8859-1", row.open_quote
+        mode = LINES if not row.open_quote else WHOLE if row.size <= whole_file_limit else LONG
+        if row.header and re.search(OPEN_QUOTE, row.header):
+            raise ValueError(f"the header of {row.path} runs over more than one line")
+        encoding = "UTF-8" if row.utf8 else "ISO-8859-1"
+        groups[FileGroup(header_names(row.header), encoding, mode)].append(
+            _escape_glob(unquote(row.path))
         )
-        groups[key].append(_escape_glob(unquote(row.path)))
     return {k: sorted(v) for k, v in sorted(groups.items())}
 
 
-def _reader(spark: SparkSession, group: FileGroup, extra: Sequence[str] = ()):
-    """Reader with positional column names; the real names may repeat or clash."""
-    fields = [f"c{i}" for i in range(max(len(group.header), 1))] + list(extra)
+def _fields(group: FileGroup) -> list[str]:
+    """Positional column names; the real names may repeat or differ in case only."""
+    return [f"c{i}" for i in range(max(len(group.header), 1))]
+
+
+def _text_schema(names: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+_FORMAT = {"sep": DELIMITER, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+
+
+def _reader(spark: SparkSession, group: FileGroup, names: Sequence[str]):
     return (
-        spark.read.schema(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
+        spark.read.schema(_text_schema(names))
+        .options(**_FORMAT)
         .option("header", True)
-        .option("sep", DELIMITER)
-        .option("quote", '"')
-        .option("escape", '"')
         .option("encoding", group.encoding)
-        .option("multiLine", group.multi_line)
-        .option("mode", "PERMISSIVE")
+        .option("multiLine", group.mode == WHOLE)
     )
 
 
+def _scan(
+    spark: SparkSession, group: FileGroup, paths: list[str], texts: DataFrame | None
+) -> DataFrame:
+    """Parsed fields; from the record ``texts`` where a LONG group has them."""
+    if texts is None:
+        return _reader(spark, group, _fields(group)).csv(paths)
+    columns = ", ".join(f"{n} string" for n in _fields(group))
+    parsed = F.from_csv("value", columns, _FORMAT)
+    return texts.select(parsed.alias("r")).select("r.*")
+
+
 def _records(
-    spark: SparkSession,
+    scan: DataFrame,
     group: FileGroup,
-    paths: list[str],
     expected: Sequence[str],
     synonyms: Mapping[str, Sequence[str]],
 ) -> DataFrame:
     """Cleaned expected columns of one file group; others are never parsed."""
     wanted = set(known_names(expected, synonyms))
-    scan = _reader(spark, group).csv(paths)
-    # one safe name per position: some synonyms differ in letter case only
     safe = {n: f"c{i}" for i, n in enumerate(group.header) if n in wanted}
     cells = clean_cells(scan.select(*safe.values()))
     merged = {canon: [safe[n] for n in names if n in safe] for canon, names in synonyms.items()}
@@ -174,18 +208,27 @@ def _records(
     return project_expected(unify_synonyms(cells, {**merged, **single}), expected)
 
 
-def _malformed(spark: SparkSession, group: FileGroup, paths: list[str]) -> DataFrame:
+def _malformed(
+    spark: SparkSession, group: FileGroup, paths: list[str], texts: DataFrame | None
+) -> DataFrame:
     """Records with more fields than their header; the surplus is not in records."""
-    scan = (
-        _reader(spark, group, ["malformed"])
-        .option("columnNameOfCorruptRecord", "malformed")
-        .option("columnPruning", False)
-        .csv(paths)
-    )
+    names = _fields(group)
+    if texts is not None:
+        scan = texts.select("path", F.col("value").alias("malformed"))
+    else:
+        scan = (
+            _reader(spark, group, [*names, "malformed"])
+            .option("columnNameOfCorruptRecord", "malformed")
+            .option("columnPruning", False)
+            .csv(paths)
+            # the reader only tells malformed records when all fields are asked for
+            .where(F.length(F.concat_ws("", *names)) >= 0)
+            .select(F.col("_metadata.file_path").alias("path"), "malformed")
+        )
     bare = F.regexp_replace("malformed", r'"[^"]*+(?:""[^"]*+)*+"', "")
     surplus = F.length(bare) - F.length(F.replace(bare, F.lit(DELIMITER), F.lit("")))
-    return scan.where(surplus >= max(len(group.header), 1)).select(
-        F.col("_metadata.file_path").alias("ARCHIVO"), F.col("malformed").alias("REGISTRO")
+    return scan.where(surplus >= len(names)).select(
+        F.col("path").alias("ARCHIVO"), F.col("malformed").alias("REGISTRO")
     )
 
 
@@ -198,12 +241,17 @@ def read_csv_folder(
     folder: str,
     expected: Sequence[str] = EXPECTED_COLUMNS,
     synonyms: Mapping[str, Sequence[str]] = COLUMN_SYNONYMS,
+    whole_file_limit: int = WHOLE_FILE_LIMIT,
 ) -> CsvFolder:
     """All records of the ``.csv`` files directly inside ``folder``.
 
     ``records`` has the expected columns found in any file, all text, cleaned
     cell by cell and with synonyms unified. A folder without such files gives
     no rows. Profiling runs at once, parsing when the result is used.
+
+    Files whose fields run over line ends are read by one task each up to
+    ``whole_file_limit`` bytes; larger ones are still split, at the price of
+    writing their lines once.
     """
     try:
         lines = spark.read.text(folder_pattern(folder))
@@ -212,10 +260,15 @@ def read_csv_folder(
             raise
         spark.read.option("recursiveFileLookup", True).text(_escape_glob(folder))  # must exist
         return CsvFolder(_empty(spark, expected), _empty(spark, ["ARCHIVO", "REGISTRO"]))
-    groups = group_files(profile_files(lines, known_names(expected, synonyms)))
+    groups = group_files(profile_files(lines, known_names(expected, synonyms)), whole_file_limit)
     if not groups:
         return CsvFolder(_empty(spark, expected), _empty(spark, ["ARCHIVO", "REGISTRO"]))
-    found = [_records(spark, g, p, expected, synonyms) for g, p in groups.items()]
+    found, malformed = [], []
+    for group, paths in groups.items():
+        texts = None
+        if group.mode == LONG:
+            texts = read_long_records(spark, paths, group.encoding, OPEN_QUOTE)
+        found.append(_records(_scan(spark, group, paths, texts), group, expected, synonyms))
+        malformed.append(_malformed(spark, group, paths, texts))
     records = project_expected(concat_tables(found), expected)
-    malformed = concat_tables([_malformed(spark, g, p) for g, p in groups.items()])
-    return CsvFolder(records, malformed)
+    return CsvFolder(records, concat_tables(malformed))

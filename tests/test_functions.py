@@ -62,13 +62,11 @@ def test_repair_every_pair_of_keys(spark):
     assert apply(spark, values, text.repair_text(F.col("v"))) == [single_pass(v) for v in values]
 
 
-def test_check_order_rejects_ambiguous_tables():
+def test_repair_with_another_table(spark):
+    table = {"ñx": "n", "ñ": "N", "é": "ñ"}
+    assert apply(spark, ["ñxéñé", "éx", "?"], text.repair_text(F.col("v"), table)) == ["nñNñ", "ñx", "?"]
     with pytest.raises(ValueError):
-        text.check_order({"ab": "c", "dc": "x"})
-    with pytest.raises(ValueError):
-        text.check_order({"ab": "x", "bc": "y"})
-    with pytest.raises(ValueError):
-        text.check_order({"ab": "xy"})
+        text.repair_text("v", {"ab": "c"})
 
 
 @settings(max_examples=10, deadline=None)
