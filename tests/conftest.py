@@ -15,6 +15,7 @@ def spark():
         "almenara-tests",
         "local[4]",
         spark__sql__shuffle__partitions="4",
+        spark__sql__maxMetadataStringLength="4000",
         spark__ui__enabled="false",
         spark__driver__memory="4g",
         spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="almenara-wh-"),

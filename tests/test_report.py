@@ -155,12 +155,13 @@ def test_dimension_first_brute_force(spark, how, text_codes):
     dim = dim.union(spark.createDataFrame([(1, 7.0, None), (None, 8.0, 9.0), (4, 6.5, 1.0)], dim.schema))
     if text_codes:
         inc = inc.withColumn("CODIGO_LOCALIDAD", F.concat(F.col("CODIGO_LOCALIDAD").cast("string"), F.lit(".0")))
-        inc = inc.union(spark.createDataFrame([("4", "e", "L4")], inc.schema))
-    joined = dim.join(inc, dim.Codigo_Localidad.cast("string") == inc.CODIGO_LOCALIDAD.cast("string"), how)
-    want = joined.groupBy("CODIGO_LOCALIDAD").agg(
+        inc = inc.union(spark.createDataFrame([("4", "e", "L4")], "c string, n string, l string"))
+    inc = inc.withColumnRenamed("CODIGO_LOCALIDAD", "CODIGO")
+    joined = dim.join(inc, dim.Codigo_Localidad.cast("string") == inc.CODIGO.cast("string"), how)
+    want = joined.groupBy("CODIGO").agg(
         F.count("NUMERO_INCIDENTE").alias("TOTAL"), F.avg("X"), F.avg("Y"), F.min("LOCALIDAD")
     )
-    assert rows(J.map_totals(inc, dim, how=how)) == rows(want)
+    assert rows(J.map_totals(inc, dim, "CODIGO", how=how)) == rows(want)
 
 
 def test_join_kind_is_checked(spark):

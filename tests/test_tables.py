@@ -77,7 +77,8 @@ def test_build_writes_all_tables(spark, config):
         assert all(f.dataType == t for f, t in zip(totals.schema, AGGREGATE_TABLES[name][1].values()))
     assert "__HIVE_DEFAULT_PARTITION__" in str(os.listdir(paths["localidad"]))
     # building again replaces, whatever the mode
-    assert read_parquet(spark, build(spark, config, mode="append")["general"]).count() == 3
+    general = read_parquet(spark, build(spark, config, mode="append")["general"])
+    assert general.count() == 3
     got = locality_map(spark, general, config).orderBy("CODIGO_LOCALIDAD").collect()
     assert [tuple(r) for r in got] == [(None, 0, 3.0, 4.0, None), (11, 1, 5.0, 6.0, "SUBA")]
 
@@ -89,8 +90,9 @@ def test_write_modes_and_layout(spark, config):
     for _ in range(2):
         paths = write_tables(spark, rows, config, "append", False, False, partition_by={"diario": [], "heatmap": ["HORA"]})
     assert read_parquet(spark, paths["general"]).count() == 2
-    assert [tuple(r) for r in read_totals(spark, "localidad", paths["localidad"]).collect()] == [("1", 1), ("1", 2)] or \
-        sorted(tuple(r) for r in read_totals(spark, "localidad", paths["localidad"]).collect()) == [("1", 1), ("1", 2)]
+    # each run counts the general table as it then stands; the key stays text
+    places = read_totals(spark, "localidad", paths["localidad"]).collect()
+    assert sorted(tuple(r) for r in places) == [("1", 1), ("1", 2)]
     assert not any("=" in f for f in os.listdir(paths["diario"]))
     assert any(f == "HORA=1" for f in os.listdir(paths["heatmap"]))
     daily = read_totals(spark, "diario", paths["diario"])
