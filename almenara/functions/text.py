@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame
@@ -49,24 +49,81 @@ def _ascii_repair(c: Column, table: Mapping[str, str]) -> Column:
     return c
 
 
+def _repair_steps(table: Mapping[str, str]) -> list[Callable[[Column], Column]]:
+    """Steps that together replace as one left-to-right pass would.
+
+    Single characters go first, so what a sequence turns into is never
+    replaced again; one that can also end a sequence is left alone where the
+    text before it makes it part of that sequence. Then the sequences follow,
+    grouped by their first character.
+    """
+    sequences = [k for k in table if len(k) > 1]
+    singles = [k for k in table if len(k) == 1]
+    leads = list(dict.fromkeys(q[0] for q in sequences))
+    ordered = [q for lead in leads for q in sequences if q[0] == lead]
+    _check_order(table, singles, ordered)
+    behind = {s: [q[: q.index(s)] for q in sequences if s in q] for s in singles}
+    shared = [s for s in singles if behind[s]]
+    free = [s for s in singles if not behind[s]]
+
+    def replace_shared(x: Column) -> Column:
+        changed = x
+        for s in shared:
+            prefix = "|".join(re.escape(p) for p in behind[s])
+            changed = F.regexp_replace(changed, f"(?<!{prefix}){re.escape(s)}", table[s])
+        return F.when(x.rlike(f"[{re.escape(''.join(shared))}]"), changed).otherwise(x)
+
+    def replace_free(x: Column) -> Column:
+        return F.translate(x, "".join(free), "".join(table[s] for s in free))
+
+    def replace_sequences(lead: str) -> Callable[[Column], Column]:
+        def step(x: Column) -> Column:
+            changed = x
+            for q in ordered:
+                if q[0] == lead:
+                    changed = F.replace(changed, F.lit(q), F.lit(table[q]))
+            return F.when(F.contains(x, F.lit(lead)), changed).otherwise(x)
+
+        return step
+
+    steps = [replace_shared] if shared else []
+    steps += [replace_free] if free else []
+    return steps + [replace_sequences(lead) for lead in leads]
+
+
+def _check_order(table: Mapping[str, str], singles: list[str], ordered: list[str]) -> None:
+    """Raise where the steps could differ from a single pass."""
+    starts = {q[0] for q in ordered}
+    tails = {ch for q in ordered for ch in q[1:]}
+    if starts & (tails | set(singles)):
+        raise ValueError("sequences may overlap or start like a single character")
+    for k, v in table.items():
+        if len(v) != 1 or v in starts or (len(k) == 1 and v in tails):
+            raise ValueError(f"{k!r} -> {v!r} could become part of a sequence")
+    for i, q in enumerate(ordered):
+        for later in ordered[i + 1 :]:
+            if table[q] in later[1:]:
+                raise ValueError(f"{q!r} must come after {later!r}")
+
+
 def repair_text(c: Column | str, table: Mapping[str, str] = TEXT_REPAIR) -> Column:
     """One repair pass: at each place the first key of the table that fits is
     replaced, and what it turns into is not looked at again.
 
-    The text is cut into keys and the stretches between them, the keys are
-    looked up, and all is joined again. Pure ASCII cells, the bulk of any file,
-    and cells without a character that starts a key skip that work.
+    Pure ASCII cells, the bulk of any file, and cells without a character that
+    starts a key skip most of the work. The steps run over a one-element array:
+    a chain of some fifty calls per column, inlined for every column, gives
+    generated methods too long for the JVM to compile.
     """
     c = as_column(c)
     starts = re.escape("".join(dict.fromkeys(k[0] for k in table)))
-    keys = "|".join(re.escape(k) for k in table)
-    pieces = F.regexp_extract_all(c, F.lit(f"{keys}|[^{starts}]++|[{starts}]"), F.lit(0))
-    known = literal_map(table)
-    repaired = F.array_join(F.transform(pieces, lambda p: F.coalesce(known[p], p)), "")
+    cell = F.array(c)
+    for step in _repair_steps(table):
+        cell = F.transform(cell, step)
     return (
         F.when(F.octet_length(c) == F.length(c), _ascii_repair(c, table))
         .when(~c.rlike(f"[{starts}]"), c)
-        .otherwise(repaired)
+        .otherwise(F.get(cell, F.lit(0)))
     )
 
 
@@ -92,10 +149,15 @@ def null_tokens(c: Column | str, tokens: Iterable[str] = CSV_NULL_TOKENS) -> Col
     return F.when(~c.isin(*tokens), c)
 
 
+def not_blank(c: Column | str) -> Column:
+    """True for a text with any character that is not white space."""
+    return F.ltrim(as_column(c), F.lit(WHITE_SPACE)) != ""
+
+
 def blank_to_null(c: Column | str) -> Column:
     """Null for an empty or white-space-only cell."""
     c = as_column(c)
-    return F.when(strip(c) != "", c)
+    return F.when(not_blank(c), c)
 
 
 def null_words(c: Column | str, words: Iterable[str] = NULL_WORDS) -> Column:

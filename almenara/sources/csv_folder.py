@@ -13,6 +13,8 @@ import csv
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 from urllib.parse import unquote
 
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almenara.fixed_values import COLUMN_SYNONYMS, EXPECTED_COLUMNS
-from almenara.functions.text import strip
+from almenara.functions.text import not_blank
 from almenara.operators.clean import clean_cells, concat_tables, project_expected, unify_synonyms
 from almenara.sources.long_records import read_long_records
 
@@ -94,13 +96,18 @@ def folder_pattern(folder: str) -> str:
     return _escape_glob(folder.rstrip("/")) + "/*.[cC][sS][vV]"
 
 
-def _may_be_header(value: Column, names: Iterable[str]) -> Column:
-    """True where some field of the line is exactly one of ``names``."""
+def _may_be_header(value: Column, names: Sequence[str]) -> Column:
+    """True where some field of the line is exactly one of ``names``.
+
+    Plain substring tests come first; few lines of data reach the pattern.
+    """
+    parts = [n for n in names if not any(m != n and m in n for m in names)]
+    contained = reduce(or_, [F.contains(value, F.lit(n)) for n in parts])
     words = "|".join(re.escape(n) for n in names)
-    return value.rlike(f'(?:^|{DELIMITER})"?(?:{words})"?(?:{DELIMITER}|$)')
+    return contained & value.rlike(f'(?:^|{DELIMITER})"?(?:{words})"?(?:{DELIMITER}|$)')
 
 
-def profile_files(lines: DataFrame, names: Iterable[str]) -> DataFrame:
+def profile_files(lines: DataFrame, names: Sequence[str]) -> DataFrame:
     """One row per file: ``path, header, utf8, open_quote, size``.
 
     ``lines`` is a text scan. The header candidate is a grouping key and all
@@ -118,7 +125,7 @@ def profile_files(lines: DataFrame, names: Iterable[str]) -> DataFrame:
     first_block = seen.select(
         "path",
         F.when(F.col("head") & _may_be_header(line, names), line).alias("header"),
-        F.when(F.col("head") & (strip(line) != ""), F.col("position")).alias("position"),
+        F.when(F.col("head") & not_blank(line), F.col("position")).alias("position"),
         F.is_valid_utf8(line).alias("utf8"),
         (F.contains(line, F.lit('"')) & line.rlike(OPEN_QUOTE)).alias("open_quote"),
         "size",

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from almenara.functions.text import strip
+from almenara.functions.text import not_blank
 from almenara.session import scratch_folder
 
 QUOTE = '"'
@@ -94,7 +94,7 @@ def read_long_records(
         F.max_by("after", "position").alias("end"),
         last_open("from_out").alias("open_out"),
         last_open("from_in").alias("open_in"),
-        F.min(F.when(strip("value") != "", F.col("position"))).alias("first_line"),
+        F.min(F.when(not_blank("value"), F.col("position"))).alias("first_line"),
     )
     blocks = _with_states(blocks, F.col("end.from_out"), F.col("end.from_in"), ["path"], "block")
     inside = F.col("before.from_out")
@@ -122,7 +122,7 @@ def read_long_records(
         (~state("after")).alias("closes"),
         F.coalesce(F.col("position") == F.col("header"), F.lit(False)).alias("is_header"),
     )
-    whole = placed.where("opens and closes and not is_header").where(strip("value") != "")
+    whole = placed.where("opens and closes and not is_header").where(not_blank("value"))
     pieces = placed.where("not (opens and closes)")
     upto = Window.partitionBy(*keys).orderBy("position")
     in_block = F.last(F.when(F.col("opens"), F.col("position")), ignorenulls=True).over(upto)

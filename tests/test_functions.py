@@ -63,10 +63,11 @@ def test_repair_every_pair_of_keys(spark):
 
 
 def test_repair_with_another_table(spark):
-    table = {"ñx": "n", "ñ": "N", "é": "ñ"}
-    assert apply(spark, ["ñxéñé", "éx", "?"], text.repair_text(F.col("v"), table)) == ["nñNñ", "ñx", "?"]
-    with pytest.raises(ValueError):
-        text.repair_text("v", {"ab": "c"})
+    table = {"ñx": "n", "é": "E", "x": "y"}
+    assert apply(spark, ["ñxéx", "éx", "ñ"], text.repair_text(F.col("v"), table)) == ["nEy", "Ey", "ñ"]
+    for ambiguous in ({"ñx": "n", "ñ": "N"}, {"éb": "c", "dc": "x"}, {"éb": "x", "bñ": "y"}, {"éb": "xy"}, {"ab": "c"}):
+        with pytest.raises(ValueError):
+            text.repair_text("v", ambiguous)
 
 
 @settings(max_examples=10, deadline=None)
