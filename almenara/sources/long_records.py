@@ -108,6 +108,10 @@ def read_long_records(
         F.last(F.when(opened.isNotNull(), anchor), ignorenulls=True).over(earlier).alias("carried"),
         F.when(F.col("block") == 0, F.col("first_line")).alias("header"),
     )
+    # small, and needed twice: by the check now and by the records later
+    block_folder = scratch_folder(spark, "blocks")
+    blocks.write.parquet(block_folder)
+    blocks = spark.read.parquet(block_folder)
     _check_closed(blocks)
 
     def state(column: str) -> Column:
