@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from almenara.fixed_values import TIMESTAMP_NULL_WORDS, WEEKDAYS_EN, WEEKDAYS_ES
-from almenara.functions.text import as_column, null_words
+from almenara.functions.text import as_column, null_words, sql_text
 
 #: (guard, pattern) in order of preference; pattern None is Spark's ISO reading.
 #: A guard keeps texts of another shape away from a parser that would only
@@ -42,9 +42,12 @@ def safe_date(c: Column | str) -> Column:
     return as_column(c).try_cast("date")
 
 
+def _constant_array(values: Sequence[str]) -> Column:
+    return F.expr(f"array({', '.join(sql_text(v) for v in values)})")
+
+
 def _weekday_label(d: Column | str, monday_first: Sequence[str]) -> Column:
-    labels = F.array(*[F.lit(x) for x in monday_first])
-    return F.get(labels, F.weekday(as_column(d)))
+    return F.get(_constant_array(monday_first), F.weekday(as_column(d)))
 
 
 def weekday_es(d: Column | str) -> Column:
@@ -57,4 +60,4 @@ def weekday_en(d: Column | str) -> Column:
 
 def weekday_position(label: Column | str) -> Column:
     """1 for Monday to 7 for Sunday, from the Spanish label."""
-    return F.array_position(F.array(*[F.lit(x) for x in WEEKDAYS_ES]), as_column(label))
+    return F.array_position(_constant_array(WEEKDAYS_ES), as_column(label))

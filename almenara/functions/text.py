@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Iterable, Mapping
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame
@@ -35,8 +35,15 @@ def strip(c: Column | str) -> Column:
     return F.btrim(as_column(c), F.lit(WHITE_SPACE))
 
 
+def sql_text(value: str) -> str:
+    """SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def literal_map(table: Mapping[str, object]) -> Column:
-    return F.create_map(*[F.lit(x) for x in chain.from_iterable(table.items())])
+    """Constant map, as SQL text: one call to the JVM, not one per entry."""
+    items = [sql_text(x) if isinstance(x, str) else str(x) for x in chain.from_iterable(table.items())]
+    return F.expr(f"map({', '.join(items)})")
 
 
 def _ascii_repair(c: Column, table: Mapping[str, str]) -> Column:
@@ -49,8 +56,9 @@ def _ascii_repair(c: Column, table: Mapping[str, str]) -> Column:
     return c
 
 
-def _repair_steps(table: Mapping[str, str]) -> list[Callable[[Column], Column]]:
-    """Steps that together replace as one left-to-right pass would.
+def _repair_steps(table: Mapping[str, str]) -> list[str]:
+    """Steps, as SQL over ``x``, that together replace as one left-to-right
+    pass would.
 
     Single characters go first, so what a sequence turns into is never
     replaced again; one that can also end a sequence is left alone where the
@@ -66,29 +74,25 @@ def _repair_steps(table: Mapping[str, str]) -> list[Callable[[Column], Column]]:
     shared = [s for s in singles if behind[s]]
     free = [s for s in singles if not behind[s]]
 
-    def replace_shared(x: Column) -> Column:
-        changed = x
+    steps = []
+    if shared:
+        changed = "x"
         for s in shared:
             prefix = "|".join(re.escape(p) for p in behind[s])
-            changed = F.regexp_replace(changed, f"(?<!{prefix}){re.escape(s)}", table[s])
-        return F.when(x.rlike(f"[{re.escape(''.join(shared))}]"), changed).otherwise(x)
-
-    def replace_free(x: Column) -> Column:
-        return F.translate(x, "".join(free), "".join(table[s] for s in free))
-
-    def replace_sequences(lead: str) -> Callable[[Column], Column]:
-        def step(x: Column) -> Column:
-            changed = x
-            for q in ordered:
-                if q[0] == lead:
-                    changed = F.replace(changed, F.lit(q), F.lit(table[q]))
-            return F.when(F.contains(x, F.lit(lead)), changed).otherwise(x)
-
-        return step
-
-    steps = [replace_shared] if shared else []
-    steps += [replace_free] if free else []
-    return steps + [replace_sequences(lead) for lead in leads]
+            pattern = sql_text(f"(?<!{prefix}){re.escape(s)}")
+            changed = f"regexp_replace({changed}, {pattern}, {sql_text(table[s])})"
+        any_shared = sql_text(f"[{re.escape(''.join(shared))}]")
+        steps.append(f"if(x rlike {any_shared}, {changed}, x)")
+    if free:
+        given, wanted = "".join(free), "".join(table[s] for s in free)
+        steps.append(f"translate(x, {sql_text(given)}, {sql_text(wanted)})")
+    for lead in leads:
+        changed = "x"
+        for q in ordered:
+            if q[0] == lead:
+                changed = f"replace({changed}, {sql_text(q)}, {sql_text(table[q])})"
+        steps.append(f"if(contains(x, {sql_text(lead)}), {changed}, x)")
+    return steps
 
 
 def _check_order(table: Mapping[str, str], singles: list[str], ordered: list[str]) -> None:
@@ -119,7 +123,7 @@ def repair_text(c: Column | str, table: Mapping[str, str] = TEXT_REPAIR) -> Colu
     starts = re.escape("".join(dict.fromkeys(k[0] for k in table)))
     cell = F.array(c)
     for step in _repair_steps(table):
-        cell = F.transform(cell, step)
+        cell = F.call_function("transform", cell, F.expr(f"x -> {step}"))
     return (
         F.when(F.octet_length(c) == F.length(c), _ascii_repair(c, table))
         .when(~c.rlike(f"[{starts}]"), c)
