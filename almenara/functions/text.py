@@ -26,6 +26,11 @@ def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def quoted_name(name: str) -> str:
+    """SQL identifier for an exact column name, dots included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
@@ -46,14 +51,14 @@ def literal_map(table: Mapping[str, object]) -> Column:
     return F.expr(f"map({', '.join(items)})")
 
 
-def _ascii_repair(c: Column, table: Mapping[str, str]) -> Column:
-    """The table's ASCII keys, applied one after the other."""
+def _ascii_repair(x: str, table: Mapping[str, str]) -> str:
+    """SQL that applies the table's ASCII keys one after the other."""
     keys = [k for k in table if k.isascii()]
     if any(len(k) > 1 for k in keys) or any(table[k] in keys for k in keys):
         raise ValueError("ASCII keys must be single characters that give no other key")
     for k in keys:
-        c = F.replace(c, F.lit(k), F.lit(table[k]))
-    return c
+        x = f"replace({x}, {sql_text(k)}, {sql_text(table[k])})"
+    return x
 
 
 def _repair_steps(table: Mapping[str, str]) -> list[str]:
@@ -119,22 +124,26 @@ def repair_text(c: Column | str, table: Mapping[str, str] = TEXT_REPAIR) -> Colu
     a chain of some fifty calls per column, inlined for every column, gives
     generated methods too long for the JVM to compile.
     """
-    c = as_column(c)
-    starts = re.escape("".join(dict.fromkeys(k[0] for k in table)))
-    cell = F.array(c)
-    for step in _repair_steps(table):
-        cell = F.call_function("transform", cell, F.expr(f"x -> {step}"))
-    return (
-        F.when(F.octet_length(c) == F.length(c), _ascii_repair(c, table))
-        .when(~c.rlike(f"[{starts}]"), c)
-        .otherwise(F.get(cell, F.lit(0)))
-    )
+    def over(x: str) -> str:
+        starts = re.escape("".join(dict.fromkeys(k[0] for k in table)))
+        cell = f"array({x})"
+        for step in _repair_steps(table):
+            cell = f"transform({cell}, x -> {step})"
+        return (
+            f"CASE WHEN octet_length({x}) = length({x}) THEN {_ascii_repair(x, table)} "
+            f"WHEN NOT {x} rlike {sql_text(f'[{starts}]')} THEN {x} ELSE get({cell}, 0) END"
+        )
+
+    if isinstance(c, str):
+        return F.expr(over(quoted_name(c)))
+    cells = F.call_function("transform", F.array(c), F.expr(f"cell -> {over('cell')}"))
+    return F.get(cells, F.lit(0))
 
 
 def repair_columns(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """One repair pass over the given (default: all) text columns."""
     names = string_columns(df) if columns is None else list(columns)
-    return df.withColumns({n: repair_text(F.col(f"`{n}`")) for n in names})
+    return df.withColumns({n: repair_text(n) for n in names})
 
 
 def standard_text(c: Column | str) -> Column:

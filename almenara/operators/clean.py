@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almenara.fixed_values import COLUMN_SYNONYMS, EXPECTED_COLUMNS
-from almenara.functions.text import blank_to_null, null_tokens, repair_text
+from almenara.functions.text import blank_to_null, null_tokens, quoted_name, repair_text
 
 
 def quoted(name: str) -> Column:
     """Column by exact name, dots included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted_name(name))
 
 
 def drop_unnamed(df: DataFrame) -> DataFrame:
@@ -30,12 +30,9 @@ def project_expected(df: DataFrame, expected: Sequence[str] = EXPECTED_COLUMNS)
 def clean_cells(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """First cell cleaning: missing-value tokens, text repair, blanks."""
     names = list(df.columns if columns is None else columns)
-    steps = (null_tokens, repair_text, blank_to_null)
-    return reduce(
-        lambda d, step: d.select(*[step(quoted(c)).alias(c) if c in names else quoted(c) for c in d.columns]),
-        steps,
-        df,
-    )
+    for step in (lambda c: null_tokens(quoted(c)), repair_text, lambda c: blank_to_null(quoted(c))):
+        df = df.select(*[step(c).alias(c) if c in names else quoted(c) for c in df.columns])
+    return df
 
 
 def unify_synonyms(

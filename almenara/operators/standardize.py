@@ -76,10 +76,12 @@ def rejects(
     readers = {
         "CODIGO_LOCALIDAD": standard_code,
         "EDAD": lenient_int,
-        TIMESTAMP_COLUMN: lambda c: parse_timestamp(repair_text(c), formats),
+        TIMESTAMP_COLUMN: lambda c: parse_timestamp(c, formats),
     }
     texts = raw.withColumns({f"__{c}": standard_text(F.col(c).cast("string")) for c in readers})
     texts = texts.withColumns({f"__{c}": repair_text(f"__{c}") for c in readers})
+    # dates are read after the third repair pass
+    texts = texts.withColumn(f"__{TIMESTAMP_COLUMN}", repair_text(f"__{TIMESTAMP_COLUMN}"))
     faults = [
         F.when(~F.col(f"__{c}").isin(*DECLARED_MISSING) & read(F.col(f"__{c}")).isNull(), F.lit(c))
         for c, read in readers.items()
