@@ -49,6 +49,18 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, n_symbols, n_dup_
 FROM b {' '.join(f'LEFT JOIN t{n} USING (doc_id)' for n in NGRAM_LIMITS)}
 """
 
+_NEAR = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+g AS (SELECT DISTINCT doc_id, list_aggregate(words[k : k + 3], 'string_agg', ' ') AS s FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(len(words) - 3, 1))) AS k FROM d WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM g x JOIN g y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM o JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * o.n >= 80 * (p.n + q.n - o.n)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) LEFT JOIN n USING (doc_id)
+"""
+
 _LINES = r"""
 WITH l AS (SELECT doc_id, i, line, regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '') AS bare
   FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)),
@@ -77,6 +89,7 @@ FROM m GROUP BY doc_id, source, size, source_size, target
 
 ORACLE: dict[str, str] = {
     "op1_warc": _WARC,
+    "op5_near_dup": _NEAR,
     "op6_quality_rules": _QUALITY,
     "op9_line_dedup": _LINES,
     "op10_mix_sources": _MIX,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almenara.llm import line_dedup, mixing, quality_rules, warc
+from almenara.llm import line_dedup, mixing, near_dup, quality_rules, warc
 from almenara.llm.tables import text_bytes
 from almenara.session import scratch_folder
 
@@ -40,6 +40,13 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document, on 4-word shingles."""
+    found = near_dup.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=4)
+    kept = F.col("_id").eqNullSafe(F.col("_component"))
+    return found.select(F.col("_id").alias("doc_id"), F.col("_n").alias("n_shingles"), F.col("_component").alias("component_id"), kept.alias("kept"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition counts and verdict of every document."""
     judged = quality_rules.quality_rules(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -61,6 +68,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
+    "op5_near_dup": op5_near_dup,
     "op6_quality_rules": op6_quality_rules,
     "op9_line_dedup": op9_line_dedup,
     "op10_mix_sources": op10_mix_sources,

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almenara.llm.tables import stored
+
 CHUNK_BYTES = 1 << 20
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
@@ -43,7 +45,7 @@ def mark_revisits(rows: DataFrame, id_col: str, payload_col: str, min_bytes: int
     adaptive execution splits, so one payload may be a third of all rows.
     """
     sized = rows.withColumn("_sha1", F.sha1(F.col(payload_col))).withColumn("_len", F.octet_length(F.col(payload_col)))
-    newest = sized.where(F.col("_len") >= min_bytes).groupBy("_sha1", "_len").agg(F.max(id_col).alias("_newest"))
+    newest = stored(sized.where(F.col("_len") >= min_bytes).groupBy("_sha1", "_len").agg(F.max(id_col).alias("_newest")), "newest")
     joined = sized.join(newest, ["_sha1", "_len"], "left")
     itself = F.col(id_col).eqNullSafe(F.col("_newest"))
     return joined.withColumn("_refers_to", F.when(~itself, F.col("_newest"))).drop("_newest", "_len")
