@@ -61,6 +61,20 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) LEFT JOIN n USING (doc_id)
 """
 
+_SUFFIX = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS g FROM (SELECT doc_id, h, unnest(range(0, n - 399)) AS i FROM d WHERE n >= 400)),
+r AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY g) AS c FROM w) WHERE c > 1),
+m AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400 THEN 0 ELSE 1 END AS opens FROM r),
+g AS (SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM m),
+s AS (SELECT doc_id, min(i) AS lo, max(i) + 400 AS hi FROM g GROUP BY doc_id, run),
+k AS (SELECT doc_id, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS a, lo AS b FROM s UNION ALL SELECT doc_id, max(hi), NULL FROM s GROUP BY doc_id),
+t AS (SELECT doc_id, string_agg(CASE WHEN b IS NULL THEN substr(h, 2 * a + 1) ELSE substr(h, 2 * a + 1, 2 * (b - a)) END, '' ORDER BY a, b NULLS LAST) AS kept FROM k JOIN d USING (doc_id) GROUP BY doc_id),
+c AS (SELECT doc_id, sum(hi - lo) AS gone, count(*) AS runs FROM s GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(runs, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
+
 _LINES = r"""
 WITH l AS (SELECT doc_id, i, line, regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '') AS bare
   FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)),
@@ -91,6 +105,7 @@ ORACLE: dict[str, str] = {
     "op1_warc": _WARC,
     "op5_near_dup": _NEAR,
     "op6_quality_rules": _QUALITY,
+    "op7_suffix_dedup": _SUFFIX,
     "op9_line_dedup": _LINES,
     "op10_mix_sources": _MIX,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almenara.llm import line_dedup, mixing, near_dup, quality_rules, warc
+from almenara.llm import line_dedup, mixing, near_dup, quality_rules, suffix_dedup, warc
 from almenara.llm.tables import text_bytes
 from almenara.session import scratch_folder
 
@@ -54,6 +54,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated strings of 400 bytes."""
+    cut = suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents"), with_bytes=False)
+    return cut.select(F.col("_id").alias("doc_id"), F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"), F.col("_n_spans").alias("n_spans"), F.col("_kept_sha256").alias("kept_sha256"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that a smaller id holds too."""
     done = line_dedup.line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -70,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op5_near_dup": op5_near_dup,
     "op6_quality_rules": op6_quality_rules,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_mix_sources": op10_mix_sources,
 }
