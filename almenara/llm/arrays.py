@@ -172,3 +172,24 @@ def list_column(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa
     """Arrow list column from flat values and the count per row."""
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+
+
+def byte_classes() -> np.ndarray:
+    """0 for blanks, 1 for letters, digits and all bytes of non-ASCII characters, 2 for the rest."""
+    table = np.full(256, 2, np.uint8)
+    table[[0x20, *range(0x09, 0x0E)]] = 0
+    table[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+    return table
+
+
+def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and class of the longest runs of one class; blanks are no tokens, documents end tokens."""
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+    kind = byte_classes()[data]
+    opens = np.concatenate([[True], kind[1:] != kind[:-1]])
+    opens[offsets[(offsets > 0) & (offsets < len(data))]] = True
+    starts = np.flatnonzero(opens)
+    ends = np.append(starts[1:], len(data))
+    held = kind[starts] > 0
+    return starts[held], ends[held], kind[starts[held]]

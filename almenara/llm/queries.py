@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almenara.llm import line_dedup, mixing, near_dup, quality_rules, suffix_dedup, warc
+from almenara.llm import line_dedup, mixing, near_dup, quality_classifier, quality_rules, suffix_dedup, toxicity, warc
+from almenara.llm.samples import split_code
 from almenara.llm.tables import text_bytes
 from almenara.session import scratch_folder
 
@@ -40,6 +41,18 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from two thirds of the labels."""
+    labels = _table(spark, sf_dir, "labels").where(split_code("doc_id", 3) != 1)
+    scores = quality_classifier.quality_scores(_table(spark, sf_dir, "documents"), labels)
+    return scores.select(
+        F.col("_id").alias("doc_id"),
+        (split_code("_id", 3) == 1).alias("held_out"),
+        F.col("_score").alias("score"),
+        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document, on 4-word shingles."""
     found = near_dup.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=4)
@@ -60,6 +73,20 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select(F.col("_id").alias("doc_id"), F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"), F.col("_n_spans").alias("n_spans"), F.col("_kept_sha256").alias("kept_sha256"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from four fifths of the labels."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").where(split_code("doc_id", 5) != 0)
+    scored = toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, labels))
+    return scored.select(
+        "doc_id",
+        (split_code("doc_id", 5) == 0).alias("held_out"),
+        F.col("_score").alias("score"),
+        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
+        F.size("_offending").alias("n_offending"),
+    )
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that a smaller id holds too."""
     done = line_dedup.line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -74,9 +101,11 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
+    "op2_quality_classifier": op2_quality_classifier,
     "op5_near_dup": op5_near_dup,
     "op6_quality_rules": op6_quality_rules,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_mix_sources": op10_mix_sources,
 }
