@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almenara.llm import line_dedup, mixing, near_dup, quality_classifier, quality_rules, suffix_dedup, toxicity, warc
+from almenara.llm import decontaminate, line_dedup, mixing, near_dup, quality_classifier, quality_rules, secrets, suffix_dedup, toxicity, warc
 from almenara.llm.samples import split_code
 from almenara.llm.tables import text_bytes
 from almenara.session import scratch_folder
@@ -53,6 +53,32 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate string of every document with its score; values as digests."""
+    scanned = secrets.scan_secrets(_table(spark, sf_dir, "documents"))
+    return scanned.select(
+        F.col("_id").alias("doc_id"),
+        F.col("_nth").alias("nth"),
+        F.sha2("_value", 256).alias("value_sha256"),
+        F.length("_value").alias("n_chars"),
+        F.col("_score").alias("score"),
+        F.col("_secret").alias("is_secret"),
+    )
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that it holds."""
+    leaks = decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return leaks.select(
+        F.col("_id").alias("doc_id"),
+        F.col("_item").alias("item_id"),
+        F.round("_cosine", 3).alias("cosine"),
+        F.col("_share").alias("lcs_share"),
+        F.col("_answer").alias("answer_share"),
+        F.col("_word").alias("first_word"),
+    )
+
+
 def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document, on 4-word shingles."""
     found = near_dup.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=4)
@@ -102,6 +128,8 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_secret_scan": op3_secret_scan,
+    "op4_decontaminate": op4_decontaminate,
     "op5_near_dup": op5_near_dup,
     "op6_quality_rules": op6_quality_rules,
     "op7_suffix_dedup": op7_suffix_dedup,
