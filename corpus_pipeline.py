@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almenara.llm.decontaminate import decontaminate
 from almenara.llm.line_dedup import line_dedup
 from almenara.llm.mixing import mix_sources
+from almenara.llm.near_dup import drop_near_duplicates
 from almenara.llm.quality_rules import quality_rules
 from almenara.llm.tables import stored
 
-#: some stages have no SQL form
+#: latent semantic retrieval has no SQL form
 ORACLE_SQL = None
 
 
@@ -24,6 +26,16 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return line_dedup(docs).select(docs.columns)
 
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, by 5-word shingles and a similarity of 0.8."""
+    return drop_near_duplicates(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(docs.columns)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix takes of each document."""
     mixed = mix_sources(docs)
@@ -33,7 +45,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality rules", keep_good),
     ("line dedup", drop_shared_lines),
-    ("mix", mix),
+    ("MinHash near-dedup", one_of_each_group),
+    ("benchmark decontamination", drop_leaks),
+    ("mixing sources to target weights", mix),
 ]
 
 
