@@ -109,7 +109,7 @@ def weak_labels(found: DataFrame) -> DataFrame:
     v = F.col("_value")
     placeholder = v.rlike(_PLACEHOLDER)
     mixed = v.rlike("[0-9]") & v.rlike("[A-Za-z]")
-    label = F.when(placeholder | ~v.rlike("[0-9]") | ~v.rlike("[A-Za-z]"), 0).when(v.rlike(_PROVIDER) | (mixed & F.col("_before").rlike(_CREDENTIAL)), 1)
+    label = F.when(placeholder, 0).when(v.rlike(_PROVIDER) | (mixed & F.col("_before").rlike(_CREDENTIAL)), 1).when(~mixed, 0)
     return found.select("_value", label.alias("_label")).where("_label IS NOT NULL").groupBy("_value").agg(F.max("_label").alias("_label"))
 
 
