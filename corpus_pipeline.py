@@ -23,7 +23,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that a smaller id holds too."""
-    return line_dedup(docs).select(docs.columns)
+    fewer = line_dedup(docs).select(docs.columns)
+    return fewer.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
