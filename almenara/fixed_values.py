@@ -199,3 +199,6 @@ WEEKDAYS_EN = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday
 
 # --- fixed values: value of a filter that means "no filter" ----------------
 ALL_VALUES = "TODAS"
+
+# Texts that say "no value given", so that their absence is no parsing failure.
+DECLARED_MISSING = ["NAN", "SIN_D", "SIN_DATO", "", "NULL"]

@@ -13,11 +13,26 @@ from almenara.functions.text import as_column, null_words, sql_text
 #: (guard, pattern) in order of preference; pattern None is Spark's ISO reading.
 #: A guard keeps texts of another shape away from a parser that would only
 #: throw and catch an exception for each of them.
-TIMESTAMP_FORMATS: tuple[tuple[str, str | None], ...] = (
-    (r"^\d{4}(-|$)", None),
-    (r"^(0?[1-9]|1[0-2])/\d{1,2}/\d{4} ", "M/d/yyyy H:mm[:ss]"),
-    (r"^(1[3-9]|2\d|3[01])/\d{1,2}/\d{4} ", "d/M/yyyy H:mm[:ss]"),
-)
+_MONTH_FIRST = r"^(0?[1-9]|1[0-2])[/-]\d{1,2}[/-]\d{4}"
+_DAY_FIRST = r"^(1[3-9]|2\d|3[01])[/-]\d{1,2}[/-]\d{4}"
+_TIMES = ((r" \d{1,2}:\d\d(:\d\d)?$", " H:mm[:ss]"), (r" \d{1,2}:\d\d(:\d\d)? [AaPp][Mm]$", " h:mm[:ss] a"), (r" \d{1,2}:\d\d:\d\d\.\d{1,6}$", " H:mm:ss.[SSSSSS][SSSSS][SSSS][SSS][SS][S]"), (r"$", ""))
+
+
+def timestamp_formats(day_first: bool = False) -> tuple[tuple[str, str | None], ...]:
+    """Formats with slashes or dashes, with a time of 12 or 24 hours, fractions or none.
+
+    ``day_first`` reads the first part of a date as the day where both orders
+    are possible; else it is the month.
+    """
+    orders = [("d{0}M{0}yyyy", r"^(0?[1-9]|[12]\d|3[01])[/-](0?[1-9]|1[0-2])[/-]\d{4}"), ("M{0}d{0}yyyy", _MONTH_FIRST)] if day_first else [("M{0}d{0}yyyy", _MONTH_FIRST), ("d{0}M{0}yyyy", _DAY_FIRST)]
+    found: list[tuple[str, str | None]] = [(r"^\d{4}(-|$)", None)]
+    for pattern, guard in orders:
+        for mark in "/-":
+            found += [(guard.replace("[/-]", mark) + end, pattern.format(mark) + time) for end, time in _TIMES]
+    return (*found, *((r"^\d{4}/\d{1,2}/\d{1,2}" + end, "yyyy/M/d" + time) for end, time in _TIMES))
+
+
+TIMESTAMP_FORMATS = timestamp_formats()
 
 
 def parse_timestamp(

@@ -17,27 +17,13 @@ JOIN_KINDS = {
     "full": "full", "outer": "full", "fullouter": "full", "full_outer": "full",
 }
 
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-MAX_BROADCAST_ROWS = 500_000
-
-
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
-) -> DataFrame:
-    """Broadcast hint, but only on a table measured to be small.
+def join_small(large: DataFrame, small: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join a large table to one that is small as a rule.
 
-    Measures at most ``max_rows + 1`` rows. Beyond either bound the table comes
-    back without a hint and the join is a shuffled one.
+    No hint: adaptive execution broadcasts a side that it has measured to be
+    under its threshold, and shuffles both where it is not.
     """
-    width = F.octet_length(F.to_json(F.struct(*df.columns)))
-    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
-    small = rows <= max_rows and (size or 0) <= max_bytes
-    return F.broadcast(df) if small else df
-
-
-def join_small(large: DataFrame, small: DataFrame, on, how: str = "left") -> DataFrame:
-    """Join a large table to one that is broadcast if it is small."""
-    return large.join(broadcast_if_small(small), on, how)
+    return large.join(small, on, how)
 
 
 def _is_text(df: DataFrame, column: str) -> bool:
@@ -51,13 +37,15 @@ def _keys(df: DataFrame, code: str, dim: DataFrame, dim_code: str) -> tuple[Colu
     return F.col(code).cast("bigint"), F.col(dim_code).cast("bigint")
 
 
-def _per_code(
-    df: DataFrame, code: Column, count: Column, label: str
-) -> DataFrame:
-    """One row per code. Counting first makes a code with most of the rows harmless."""
-    return df.groupBy(code.alias("codigo")).agg(
-        count.alias("TOTAL"), F.min(label).alias("LOCALIDAD")
-    )
+def _per_code(df: DataFrame, code: Column, count: Column, label: str) -> DataFrame:
+    """One row per code, with its smallest label.
+
+    Codes are counted with their labels first: that is a hash aggregation over
+    the incidents, which a smallest text is not. Counting first also makes a
+    code with most of the rows harmless.
+    """
+    per_label = df.groupBy(code.alias("codigo"), F.col(label).alias("etiqueta")).agg(count.alias("n"))
+    return per_label.groupBy("codigo").agg(F.sum("n").alias("TOTAL"), F.min("etiqueta").alias("LOCALIDAD"))
 
 
 def map_points(

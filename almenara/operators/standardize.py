@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from almenara.fixed_values import LABELS
+from almenara.fixed_values import DECLARED_MISSING, LABELS
 from almenara.functions.codes import lenient_int, map_label, map_priority, standard_code
 from almenara.functions.dates import TIMESTAMP_FORMATS, parse_timestamp, weekday_en, weekday_es
 from almenara.functions.text import (
@@ -19,9 +19,6 @@ from almenara.functions.text import (
 )
 from almenara.schema import CLEAN_SCHEMA, LABEL_COLUMNS, REQUIRED_COLUMNS, TIMESTAMP_COLUMN
 
-#: values that say "no value given", so their absence is no parsing failure
-DECLARED_MISSING = ["", "NAN", "NULL", "SIN_D", "SIN_DATO"]
-
 
 def require_columns(df: DataFrame, names: Sequence[str]) -> None:
     missing = [n for n in names if n not in df.columns]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from almenara.operators.joins import map_totals
 from almenara.operators.sinks import compact, write_parquet, write_partitioned
 from almenara.operators.standardize import rejects, standardize
 from almenara.schema import AGGREGATE_TABLES
+from almenara.session import scratch_folder
 from almenara.sources.csv_folder import read_csv_folder
 from almenara.sources.geojson import read_localities
 from almenara.sources.tables import as_spark_frame, read_parquet
@@ -37,10 +39,20 @@ def folder_of(config: Mapping[str, str], key: str) -> str:
     return f"{config['base_path'].rstrip('/')}/{folder.strip('/')}"
 
 
-def load_raw(spark: SparkSession, config: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
-    """Raw incident table, and the rows in it that cannot be read fully."""
-    raw = read_csv_folder(spark, folder_of(config, "data_cruda")).records
-    return raw, rejects(raw)
+class RawTables(NamedTuple):
+    """What the raw folder holds: together every cell of it."""
+
+    records: DataFrame
+    #: one row per cell of ``records`` that holds something unreadable
+    rejects: DataFrame
+    #: records with more fields than their header, as they stand in the file
+    malformed: DataFrame
+
+
+def load_raw(spark: SparkSession, config: Mapping[str, str]) -> RawTables:
+    """Raw incident table, its unreadable cells and the malformed records."""
+    folder = read_csv_folder(spark, folder_of(config, "data_cruda"))
+    return RawTables(folder.records, rejects(folder.records), folder.malformed)
 
 
 def retype(df: DataFrame) -> DataFrame:
@@ -64,17 +76,21 @@ def write_tables(
     """Write the general table and the five totals; returns table -> path.
 
     Resetting an output means replacing its tables, whatever ``mode`` is;
-    other files in those folders are left alone. The totals are made from the
-    general table as written, so the source is read once and each total scans
-    only its own key columns. A totals table is partitioned by all its keys,
+    other files in those folders are left alone. Totals that are replaced are
+    made from the general table as written; totals that are appended to an
+    older table count the new rows only, so that its parts add up. The source
+    is read once, and each total scans only its own key columns. A totals table is partitioned by all its keys,
     one small file per group, unless ``partition_by`` names fewer for it.
     """
     processed = f"{folder_of(config, 'data_procesada')}/{general_folder}"
     dashboard = folder_of(config, "data_dashboard")
     typed = retype(as_spark_frame(spark, df))
-    paths = {"general": write_parquet(typed, processed, "overwrite" if reset_processed else mode)}
-    stored = read_parquet(spark, processed, typed.schema)
     total_mode = "overwrite" if reset_dashboard else mode
+    if total_mode == "append" and not reset_processed:
+        typed = read_parquet(spark, write_parquet(typed, scratch_folder(spark, "new-rows")), typed.schema)
+    paths = {"general": write_parquet(typed, processed, "overwrite" if reset_processed else mode)}
+    # what was just written, or the new rows alone
+    stored = typed if total_mode == "append" and not reset_processed else read_parquet(spark, processed, typed.schema)
     for name, (folder, keys) in AGGREGATE_TABLES.items():
         path = f"{dashboard}/{folder}"
         columns = list((partition_by or {}).get(name, keys))
@@ -101,6 +117,10 @@ def locality_map(
 
 
 def build(spark: SparkSession, config: Mapping[str, str], mode: str = "overwrite") -> dict[str, str]:
-    """Raw folder to all six tables."""
-    raw, _ = load_raw(spark, config)
-    return write_tables(spark, standardize(raw), config, mode)
+    """Raw folder to all six tables, and what could not be read: unreadable cells and malformed records."""
+    raw = load_raw(spark, config)
+    paths = write_tables(spark, standardize(raw.records), config, mode)
+    processed = folder_of(config, "data_procesada")
+    paths["rejects"] = write_parquet(raw.rejects, f"{processed}/rechazos", "overwrite")
+    paths["malformed"] = write_parquet(raw.malformed, f"{processed}/malformados", "overwrite")
+    return paths

@@ -49,6 +49,7 @@ def aggregate_schema(name: str) -> T.StructType:
     return T.StructType(fields + [T.StructField(k, t) for k, t in keys.items()])
 
 
+#: code and point are read as text: files have them quoted or not
 FEATURE_PROPERTIES = T.StructType(
     [
         T.StructField("OBJECTID", T.LongType()),
@@ -57,10 +58,10 @@ FEATURE_PROPERTIES = T.StructType(
         T.StructField("LocArea", T.DoubleType()),
         T.StructField("LocCodigo", T.StringType()),
         T.StructField("SHAPE_Leng", T.DoubleType()),
-        T.StructField("Codigo_Localidad", T.LongType()),
+        T.StructField("Codigo_Localidad", T.StringType()),
         T.StructField("ORIG_FID", T.LongType()),
-        T.StructField("POINT_X", T.DoubleType()),
-        T.StructField("POINT_Y", T.DoubleType()),
+        T.StructField("POINT_X", T.StringType()),
+        T.StructField("POINT_Y", T.StringType()),
     ]
 )
 

@@ -33,9 +33,12 @@ def get_session(app_name: str = "almenara", master: str | None = None, **conf: s
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for intermediate tables, below ``spark.checkpoint.dir``.
 
-    On a cluster that setting names a folder every executor sees. Only where
-    it is unset (single-machine tests) a temporary folder is used instead.
+    On a cluster that setting names a folder every executor sees, and it has to
+    be set. With a local master a temporary folder will do instead.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.conf.get("spark.master", "")
+    if not shared and not (master == "local" or master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="almenara-")
     return f"{base}/{purpose}-{uuid.uuid4().hex}"

@@ -54,12 +54,8 @@ class FileGroup(NamedTuple):
 
 #: no field runs over a line end: any file splits over tasks, line by line
 LINES = "lines"
-#: some do, and the file is small enough for one task
-WHOLE = "whole"
-#: some do, and the file is too large for one task
-LONG = "long"
-
-WHOLE_FILE_LIMIT = 256 * 1024 * 1024
+#: some do, or blank lines come first: the lines are put together to records, over all splits
+JOINED = "joined"
 
 
 def known_names(
@@ -108,56 +104,47 @@ def _may_be_header(value: Column, names: Sequence[str]) -> Column:
 
 
 def profile_files(lines: DataFrame, names: Sequence[str]) -> DataFrame:
-    """One row per file: ``path, header, utf8, open_quote, size``.
+    """One row per file: ``path, header, utf8, joined``.
 
-    ``lines`` is a text scan. The header candidate is a grouping key and all
-    aggregates have fixed width, so this is a hash aggregation with map-side
-    combining: what is shuffled is about one row per file and task.
+    ``lines`` is a text scan. The header is the first line of the file that is
+    not blank, in whatever block. The header candidate is a grouping key and
+    all aggregates have fixed width, so this is a hash aggregation with
+    map-side combining: what is shuffled is about one row per block and task.
     """
     line = F.col("value")
     seen = lines.select(
-        "value",
         F.col("_metadata.file_path").alias("path"),
-        (F.col("_metadata.file_block_start") == 0).alias("head"),
-        F.col("_metadata.file_size").alias("size"),
-        F.monotonically_increasing_id().alias("position"),
-    )
-    first_block = seen.select(
-        "path",
-        F.when(F.col("head") & _may_be_header(line, names), line).alias("header"),
-        F.when(F.col("head") & not_blank(line), F.col("position")).alias("position"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.when(_may_be_header(line, names), line).alias("header"),
+        F.monotonically_increasing_id().alias("any"),
+        F.when(not_blank(line), F.monotonically_increasing_id()).alias("position"),
         F.is_valid_utf8(line).alias("utf8"),
         (F.contains(line, F.lit('"')) & line.rlike(OPEN_QUOTE)).alias("open_quote"),
-        "size",
-    )
-    per_header = first_block.groupBy("path", "header").agg(
-        F.min("position").alias("position"),
-        F.bool_and("utf8").alias("utf8"),
-        F.bool_or("open_quote").alias("open_quote"),
-        F.max("size").alias("size"),
     )
+    flags = [F.bool_and("utf8").alias("utf8"), F.bool_or("open_quote").alias("open_quote")]
+    per_header = seen.groupBy("path", "block", "header").agg(F.min("position").alias("position"), F.min("any").alias("any"), *flags)
+    place = F.when(F.col("position").isNotNull(), F.struct("block", "position"))
     per_file = per_header.groupBy("path").agg(
-        F.min("position").alias("position"),
-        F.min_by("header", "position").alias("header"),
-        F.bool_and("utf8").alias("utf8"),
-        F.bool_or("open_quote").alias("open_quote"),
-        F.max("size").alias("size"),
+        F.min(place).alias("position"),
+        F.min(F.struct("block", "any")).alias("start"),
+        F.min_by("header", place).alias("header"),
+        *flags,
     )
     latin = F.decode(F.col("header").cast("binary"), "ISO-8859-1")
     return per_file.where("position is not null").select(
         "path",
         F.when(F.col("utf8"), F.col("header")).otherwise(latin).alias("header"),
         "utf8",
-        "open_quote",
-        "size",
+        # the line reader knows a header on the first line of a file only
+        (F.col("open_quote") | (F.col("position.block") != F.col("start.block")) | (F.col("position.position") != F.col("start.any"))).alias("joined"),
     )
 
 
-def group_files(profile: DataFrame, whole_file_limit: int) -> dict[FileGroup, list[str]]:
+def group_files(profile: DataFrame) -> dict[FileGroup, list[str]]:
     """Paths per (header, encoding, reading mode), from the profile rows."""
     groups: dict[FileGroup, list[str]] = defaultdict(list)
     for row in profile.toLocalIterator():
-        mode = LINES if not row.open_quote else WHOLE if row.size <= whole_file_limit else LONG
+        mode = JOINED if row.joined else LINES
         if row.header and re.search(OPEN_QUOTE, row.header):
             raise ValueError(f"the header of {row.path} runs over more than one line")
         encoding = "UTF-8" if row.utf8 else "ISO-8859-1"
@@ -185,14 +172,13 @@ def _reader(spark: SparkSession, group: FileGroup, names: Sequence[str]):
         .options(**_FORMAT)
         .option("header", True)
         .option("encoding", group.encoding)
-        .option("multiLine", group.mode == WHOLE)
     )
 
 
 def _scan(
     spark: SparkSession, group: FileGroup, paths: list[str], texts: DataFrame | None
 ) -> DataFrame:
-    """Parsed fields; from the record ``texts`` where a LONG group has them."""
+    """Parsed fields; from the record ``texts`` where a JOINED group has them."""
     if texts is None:
         return _reader(spark, group, _fields(group)).csv(paths)
     columns = ", ".join(f"{n} string" for n in _fields(group))
@@ -248,7 +234,6 @@ def read_csv_folder(
     folder: str,
     expected: Sequence[str] = EXPECTED_COLUMNS,
     synonyms: Mapping[str, Sequence[str]] = COLUMN_SYNONYMS,
-    whole_file_limit: int = WHOLE_FILE_LIMIT,
 ) -> CsvFolder:
     """All records of the ``.csv`` files directly inside ``folder``.
 
@@ -256,9 +241,10 @@ def read_csv_folder(
     cell by cell and with synonyms unified. A folder without such files gives
     no rows. Profiling runs at once, parsing when the result is used.
 
-    Files whose fields run over line ends are read by one task each up to
-    ``whole_file_limit`` bytes; larger ones are still split, at the price of
-    writing their lines once.
+    Files of any size are split over tasks. Those whose fields run over line
+    ends have their lines written once, to be put together to records; a field
+    that is still open at the end of a file raises ``ValueError``. Blank lines
+    between records, of spaces too, are no records.
     """
     try:
         lines = spark.read.text(folder_pattern(folder))
@@ -267,13 +253,13 @@ def read_csv_folder(
             raise
         spark.read.option("recursiveFileLookup", True).text(_escape_glob(folder))  # must exist
         return CsvFolder(_empty(spark, expected), _empty(spark, ["ARCHIVO", "REGISTRO"]))
-    groups = group_files(profile_files(lines, known_names(expected, synonyms)), whole_file_limit)
+    groups = group_files(profile_files(lines, known_names(expected, synonyms)))
     if not groups:
         return CsvFolder(_empty(spark, expected), _empty(spark, ["ARCHIVO", "REGISTRO"]))
     found, malformed = [], []
     for group, paths in groups.items():
         texts = None
-        if group.mode == LONG:
+        if group.mode == JOINED:
             texts = read_long_records(spark, paths, group.encoding, OPEN_QUOTE)
         found.append(_records(_scan(spark, group, paths, texts), group, expected, synonyms))
         malformed.append(_malformed(spark, group, paths, texts))

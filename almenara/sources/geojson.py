@@ -9,10 +9,15 @@ from almenara.functions.text import as_column
 from almenara.schema import FEATURE_COLLECTION
 
 
-def explode_features(collections: DataFrame) -> DataFrame:
-    """One row per feature: its properties as columns, and ``coordinates``."""
-    features = collections.select(F.explode("features").alias("f"))
-    return features.select("f.properties.*", F.col("f.geometry.coordinates").alias("coordinates"))
+def feature_points(collections: DataFrame) -> DataFrame:
+    """One row per feature: its code and point properties and its coordinates."""
+    feature = F.explode("features")
+    return collections.select(feature.alias("feature")).select(
+        "feature.properties.Codigo_Localidad",
+        "feature.properties.POINT_X",
+        "feature.properties.POINT_Y",
+        "feature.geometry.coordinates",
+    )
 
 
 def read_geojson(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -22,21 +27,25 @@ def read_geojson(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
     document, which splits over tasks.
     """
     documents = spark.read.schema(FEATURE_COLLECTION).option("multiLine", multi_line).json(path)
-    return explode_features(documents)
+    return feature_points(documents)
 
 
 def parse_geojson(df: DataFrame, text: Column | str) -> DataFrame:
     """Features of GeoJSON documents held in a text column."""
     parsed = F.from_json(as_column(text), FEATURE_COLLECTION)
-    return explode_features(df.select(parsed.alias("d")).select("d.features"))
+    return feature_points(df.select(parsed.alias("d")).select("d.features"))
 
 
 def locality_points(features: DataFrame) -> DataFrame:
-    """``Codigo_Localidad, X, Y``; the point property, else the geometry."""
+    """``Codigo_Localidad, X, Y``; the point property, else the geometry.
+
+    Codes and point properties may be numbers or text; what is no number is null.
+    """
+    x, y = (F.col(c).try_cast("double") for c in ("POINT_X", "POINT_Y"))
     return features.select(
-        F.col("Codigo_Localidad").cast("bigint").alias("Codigo_Localidad"),
-        F.coalesce("POINT_X", F.get("coordinates", F.lit(0))).alias("X"),
-        F.coalesce("POINT_Y", F.get("coordinates", F.lit(1))).alias("Y"),
+        F.col("Codigo_Localidad").try_cast("bigint").alias("Codigo_Localidad"),
+        F.coalesce(x, F.get("coordinates", F.lit(0))).alias("X"),
+        F.coalesce(y, F.get("coordinates", F.lit(1))).alias("Y"),
     )
 
 

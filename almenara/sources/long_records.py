@@ -94,7 +94,7 @@ def read_long_records(
         F.max_by("after", "position").alias("end"),
         last_open("from_out").alias("open_out"),
         last_open("from_in").alias("open_in"),
-        F.min(F.when(not_blank("value"), F.col("position"))).alias("first_line"),
+        F.min(F.when(not_blank("value"), F.col("position"))).alias("first_line"),  # of the block
     )
     blocks = _with_states(blocks, F.col("end.from_out"), F.col("end.from_in"), ["path"], "block")
     inside = F.col("before.from_out")
@@ -106,7 +106,7 @@ def read_long_records(
         inside.alias("inside"),
         F.col("after.from_out").alias("inside_at_end"),
         F.last(F.when(opened.isNotNull(), anchor), ignorenulls=True).over(earlier).alias("carried"),
-        F.when(F.col("block") == 0, F.col("first_line")).alias("header"),
+        F.when(F.count("first_line").over(earlier) == 0, F.col("first_line")).alias("header"),
     )
     # small, and needed twice: by the check now and by the records later
     block_folder = scratch_folder(spark, "blocks")
@@ -148,6 +148,8 @@ def read_long_records(
 def _check_closed(blocks: DataFrame) -> None:
     """A field left open at the end of a file would swallow the rest of it."""
     ends = blocks.groupBy("path").agg(F.max_by("inside_at_end", "block").alias("open"))
-    files = [r.path for r in ends.where("open").limit(10).collect()]
+    broken = ends.where("open")
+    files = [r.path for r in broken.limit(10).collect()]
     if files:
-        raise ValueError(f"quoted field not closed at the end of {files}")
+        more = broken.count() - len(files)
+        raise ValueError(f"quoted field not closed at the end of {files}" + (f" and {more} more files" if more else ""))

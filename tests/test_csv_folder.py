@@ -171,23 +171,37 @@ def random_csv(rng, encoding, n):
     return out.getvalue().encode(encoding)
 
 
-def test_long_files_equal_whole_files(spark, tmp_path, tiny_splits):
+def test_split_files_equal_pandas(spark, tmp_path, tiny_splits):
     import random
 
     rng = random.Random(11)
+    want = []
     for i in range(2):
-        put(str(tmp_path), f"f{i}.csv", random_csv(rng, ["utf-8", "latin-1"][i], 60))
-    whole = C.read_csv_folder(spark, str(tmp_path)).records
-    long = C.read_csv_folder(spark, str(tmp_path), whole_file_limit=0).records
-    assert rows(long) == rows(whole) and long.count() > 100
+        data = random_csv(rng, ["utf-8", "latin-1"][i], 60)
+        put(str(tmp_path), f"f{i}.csv", data)
+        want.append(pd.read_csv(io.BytesIO(data), sep=";", dtype=str, encoding=["utf-8", "latin-1"][i])[["LOCALIDAD", "EDAD"]])
+    split = C.read_csv_folder(spark, str(tmp_path)).records
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    assert rows(split) == rows(C.read_csv_folder(spark, str(tmp_path)).records)
+    assert split.count() == sum(map(len, want)) > 100
+
+
+@pytest.mark.parametrize("split", ["16b", "128m"])
+def test_blank_lines_and_late_headers(spark, tmp_path, tiny_splits, split):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    put(str(tmp_path), "blank.csv", "\n" * 40 + "LOCALIDAD;EDAD\nx;1\ny;2\n")
+    put(str(tmp_path), "spaces.csv", '   \nLOCALIDAD;EDAD\n"l1\nl2";3\n   \nz;4\n')
+    put(str(tmp_path), "empty.csv", "\n" * 40)
+    got = C.read_csv_folder(spark, str(tmp_path)).records
+    assert rows(got) == sorted([("x", "1"), ("y", "2"), ("l1\nl2", "3"), ("z", "4")])
 
 
 def test_long_file_malformed_and_unclosed(spark, tmp_path, tiny_splits):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8b")
     put(str(tmp_path), "a.csv", 'LOCALIDAD;EDAD\n"a\nb";1\nc;2;3\n"d\n;";4;"5\n6"\n')
-    result = C.read_csv_folder(spark, str(tmp_path), whole_file_limit=0)
+    result = C.read_csv_folder(spark, str(tmp_path))
     assert rows(result.records) == sorted([("a\nb", "1"), ("c", "2"), ("d\n;", "4")])
     assert sorted(r.REGISTRO for r in result.malformed.collect()) == ['"d\n;";4;"5\n6"', "c;2;3"]
     put(str(tmp_path), "a.csv", 'LOCALIDAD;EDAD\nx;1\n"a;2\nb;3\n')
     with pytest.raises(ValueError, match="not closed"):
-        C.read_csv_folder(spark, str(tmp_path), whole_file_limit=0)
+        C.read_csv_folder(spark, str(tmp_path))

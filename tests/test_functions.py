@@ -123,14 +123,19 @@ def test_timestamps(spark):
     d = dt.datetime
     values = [
         "2024-01-05 10:00:00", "2024-01-05T10:00:00", "2024-01-05", "05/02/2024 11:00", "25/02/2024 11:00",
-        "5/2/2024 9:05:30", "NaT", "", "garbage", "2024/01/05 10:00", "05/02/2024", "02/30/2024 10:00", "31/04/2024 10:00",
+        "5/2/2024 9:05:30", "2024/01/05 10:00", "05/02/2024", "5/2/2024 3:04:05 PM", "5/2/2024 12:04 am", "02-05-2024 10:00",
+        "05/02/2024 10:00:00.250", "25-02-2024", "NaT", "", "garbage", "02/30/2024 10:00", "31/04/2024 10:00",
         "10:30", "13/13/2024 10:00", None,
     ]
     want = [
         d(2024, 1, 5, 10), d(2024, 1, 5, 10), d(2024, 1, 5), d(2024, 5, 2, 11), d(2024, 2, 25, 11),
-        d(2024, 5, 2, 9, 5, 30),
-    ] + [None] * 10
+        d(2024, 5, 2, 9, 5, 30), d(2024, 1, 5, 10), d(2024, 5, 2), d(2024, 5, 2, 15, 4, 5), d(2024, 5, 2, 0, 4), d(2024, 2, 5, 10),
+        d(2024, 5, 2, 10, 0, 0, 250000), d(2024, 2, 25),
+    ] + [None] * 8
     assert apply(spark, values, dates.parse_timestamp("v")) == want
+    day_first = dates.timestamp_formats(day_first=True)
+    got = apply(spark, ["05/02/2024 11:00", "2-5-2024", "02/25/2024 1:00 PM"], dates.parse_timestamp("v", day_first))
+    assert got == [d(2024, 2, 5, 11), d(2024, 5, 2), d(2024, 2, 25, 13)]
 
 
 def test_guards_lose_nothing(spark):

@@ -169,12 +169,25 @@ def test_join_kind_is_checked(spark):
         J.map_totals(*golden(spark), how="anti")
 
 
-def test_broadcast_only_when_measured_small(spark):
+def test_small_joins_start_no_job_and_broadcast_by_measure(spark):
     small = spark.createDataFrame([(i, "x" * 10) for i in range(50)], "k int, v string")
     large = spark.range(1000).select((F.col("id") % 60).cast("int").alias("k"))
-    hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
-    assert hinted(J.broadcast_if_small(small))
-    assert not hinted(J.broadcast_if_small(small, max_rows=49))
-    assert not hinted(J.broadcast_if_small(small, max_bytes=100))
-    assert hinted(J.broadcast_if_small(small.limit(0)))
-    assert J.join_small(large, small, "k").count() == 1000
+    spark.sparkContext.setJobGroup("planning", "")
+    joined = J.join_small(large, small, "k")
+    J.map_points(*golden(spark))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    joined = joined.groupBy("v").count()
+    assert joined.agg(F.sum("count")).first()[0] == 1000
+    joined.collect()
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_map_plans_do_not_sort_incidents(spark):
+    """Smallest labels are sought among counts: below the first exchange there is no sort."""
+    inc, dim = golden(spark)
+    for df in (J.map_points(inc, dim), J.map_totals(inc, dim)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        lines = [x.strip(" :+-") for x in plan.splitlines()]
+        lowest = [x.lstrip("*(0123456789) ") for x in lines if "partial_count" in x]
+        assert lowest and all(x.startswith("HashAggregate") for x in lowest)

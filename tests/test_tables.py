@@ -36,7 +36,7 @@ def config(tmp_path):
 
 
 def test_folder_to_clean_table(spark, config):
-    raw, broken = load_raw(spark, config)
+    raw, broken, _ = load_raw(spark, config)
     clean = standardize(raw)
     assert [(f.name, f.dataType) for f in clean.schema] == [(f.name, f.dataType) for f in CLEAN_SCHEMA]
     got = {r[0]: tuple(r)[1:] for r in clean.collect()}
@@ -60,7 +60,7 @@ def test_standardize_names_missing_columns(spark):
 
 
 def test_cleaning_plans_have_no_shuffle_and_no_python(spark, config):
-    raw, broken = load_raw(spark, config)
+    raw, broken, _ = load_raw(spark, config)
     for df in (standardize(raw), broken):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Python" not in plan and "Pandas" not in plan
@@ -68,7 +68,9 @@ def test_cleaning_plans_have_no_shuffle_and_no_python(spark, config):
 
 def test_build_writes_all_tables(spark, config):
     paths = build(spark, config)
-    assert set(paths) == {"general", *AGGREGATE_TABLES}
+    assert set(paths) == {"general", "rejects", "malformed", *AGGREGATE_TABLES}
+    assert [r.MOTIVO for r in read_parquet(spark, paths["rejects"]).collect()] == ["CODIGO_LOCALIDAD"]
+    assert read_parquet(spark, paths["malformed"]).count() == 0
     general = read_parquet(spark, paths["general"])
     assert general.count() == 3
     for name in AGGREGATE_TABLES:
@@ -90,9 +92,9 @@ def test_write_modes_and_layout(spark, config):
     for _ in range(2):
         paths = write_tables(spark, rows, config, "append", False, False, partition_by={"diario": [], "heatmap": ["HORA"]})
     assert read_parquet(spark, paths["general"]).count() == 2
-    # each run counts the general table as it then stands; the key stays text
+    # each run appends the count of its own rows; the key stays text
     places = read_totals(spark, "localidad", paths["localidad"]).collect()
-    assert sorted(tuple(r) for r in places) == [("1", 1), ("1", 2)]
+    assert sorted(tuple(r) for r in places) == [("1", 1), ("1", 1)]
     assert not any("=" in f for f in os.listdir(paths["diario"]))
     assert any(f == "HORA=1" for f in os.listdir(paths["heatmap"]))
     daily = read_totals(spark, "diario", paths["diario"])
