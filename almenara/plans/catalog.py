@@ -27,7 +27,7 @@ from almenara.plans.tables import write_tables
 from almenara.schema import AGGREGATE_TABLES
 from almenara.session import scratch_folder
 from almenara.sources.csv_folder import read_csv_folder
-from almenara.sources.geojson import locality_points, parse_geojson
+from almenara.sources.geojson import locality_points, parse_geojson, read_geojson
 from almenara.sources.tables import read_parquet, read_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,9 +195,8 @@ def small_side_join(spark, sf_dir):
     )
 
 
-def geo_features(spark, sf_dir):
-    """Customers written as GeoJSON documents and read as points."""
-    key = F.col("c_custkey")
+def _customer_documents(spark, sf_dir, key):
+    """Customers as GeoJSON documents, with ``key`` as their code."""
     x, y = F.col("c_acctbal") / 4, F.col("c_nationkey") * 0.5
     in_geometry = F.col("c_mktsegment") == "BUILDING"
     feature = F.struct(
@@ -209,10 +208,21 @@ def geo_features(spark, sf_dir):
             F.when(~in_geometry, y + 1).alias("POINT_Y"),
         ).alias("properties"),
     )
-    documents = table(spark, sf_dir, "customer").select(
+    return table(spark, sf_dir, "customer").select(
         F.to_json(F.struct(F.array(feature).alias("features"))).alias("documento")
     )
-    return locality_points(parse_geojson(documents, "documento"))
+
+
+def geo_features(spark, sf_dir):
+    """Customers written as GeoJSON documents and read as points."""
+    return locality_points(parse_geojson(_customer_documents(spark, sf_dir, F.col("c_custkey")), "documento"))
+
+
+def geo_files(spark, sf_dir):
+    """The same from files, with the codes as text."""
+    folder = scratch_folder(spark, "geojson")
+    _customer_documents(spark, sf_dir, F.col("c_custkey").cast("string")).write.text(folder)
+    return locality_points(read_geojson(spark, folder, multi_line=False))
 
 
 def json_props(spark, sf_dir):
@@ -343,6 +353,15 @@ def text_timestamp(spark, sf_dir):
     return parsed.select("NUMERO_INCIDENTE", wall_clock("TS"))
 
 
+def text_timestamp_formats(spark, sf_dir):
+    """Event times written in five formats, and read."""
+    forms = ["yyyy/MM/dd HH:mm:ss", "MM/dd/yyyy hh:mm:ss a", "MM-dd-yyyy HH:mm", "MM/dd/yyyy HH:mm:ss.SSS", "MM/dd/yyyy"]
+    kind = F.col("event_id") % len(forms)
+    text_ = F.coalesce(*[F.when(kind == i, F.date_format("ts", f)) for i, f in enumerate(forms)])
+    written = table(spark, sf_dir, "events").select("event_id", text_.alias("texto"))
+    return written.select("event_id", dates.parse_timestamp("texto").alias("TS")).select("event_id", wall_clock("TS"))
+
+
 def date_parts(spark, sf_dir):
     rows = prepare_incidents(event_times(spark, sf_dir))
     rows = rows.withColumn("DIA_SEMANA_EN", dates.weekday_en("FECHA"))
@@ -429,6 +448,16 @@ def csv_ingest(spark, sf_dir):
     return read_csv_folder(spark, folder).records
 
 
+def malformed_records(spark, sf_dir):
+    """Orders written with a field too many in every seventh record; these come back as they stood."""
+    folder = scratch_folder(spark, "csv-malformed")
+    surplus = F.when(F.col("o_orderkey") % 7 == 0, F.lit(";x")).otherwise(F.lit(""))
+    line = F.concat("o_orderpriority", F.lit(";"), F.col("o_orderkey").cast("string"), surplus)
+    lines = table(spark, sf_dir, "orders").select(line.alias("PRIORIDAD;NUMERO_INCIDENTE"))
+    lines.write.options(header=True, sep="\x01").csv(folder)
+    return read_csv_folder(spark, folder).malformed.select("REGISTRO")
+
+
 def parquet_roundtrip(spark, sf_dir):
     path = write_parquet(event_times(spark, sf_dir), scratch_folder(spark, "parquet"))
     return A.daily_totals(read_parquet(spark, path))
@@ -448,7 +477,11 @@ def stored_totals(spark, sf_dir):
     out = scratch_folder(spark, "tables")
     config = {"base_path": out, "data_procesada": "procesada", "data_dashboard": "dashboard"}
     rows = prepare_incidents(incidents(spark, sf_dir)).drop("TS_SAFE", "DOW")
-    paths = write_tables(spark, rows, config)
+    return _labelled_totals(spark, write_tables(spark, rows, config))
+
+
+def _labelled_totals(spark, paths):
+    """All stored totals, with their table's name and keys as text."""
 
     def labelled(name):
         keys = [F.col(k).cast("string") for k in AGGREGATE_TABLES[name][1]]
@@ -460,6 +493,17 @@ def stored_totals(spark, sf_dir):
     return concat_tables([labelled(n) for n in AGGREGATE_TABLES])
 
 
+def stored_totals_append(spark, sf_dir):
+    """Two runs that append to the same tables; their totals add up."""
+    config = {"base_path": scratch_folder(spark, "tables")}
+    rows = prepare_incidents(incidents(spark, sf_dir)).drop("TS_SAFE", "DOW")
+    closed = F.col("TIPO_INCIDENTE") == "F"
+    flat = {name: [] for name in AGGREGATE_TABLES}
+    for part in (rows.where(closed), rows.where(~closed)):
+        paths = write_tables(spark, part, config, "append", False, False, partition_by=flat)
+    return A.totals(_labelled_totals(spark, paths), "TABLA", "CLAVE_1", "CLAVE_2", weight="TOTAL")
+
+
 def spread_by_date(spark, sf_dir):
     """Rows laid out by date, hot dates over several tasks, then counted."""
     orders = _order_dates(spark, sf_dir)
@@ -490,6 +534,7 @@ QUERIES: dict[str, Query] = {
     "map_has_xy": map_has_xy,
     "small_side_join": small_side_join,
     "geo_features": geo_features,
+    "geo_files": geo_files,
     "json_props": json_props,
     "report_trend": _report("trend"),
     "report_heatmap": _report("heatmap"),
@@ -513,14 +558,17 @@ QUERIES: dict[str, Query] = {
     "lenient_int": lenient_int,
     "safe_timestamp": safe_timestamp,
     "text_timestamp": text_timestamp,
+    "text_timestamp_formats": text_timestamp_formats,
     "date_parts": date_parts,
     "synonym_coalesce": synonym_coalesce,
     "hetero_union": hetero_union,
     "clean_incidents": clean_incidents,
     "rejects": reject_rows,
     "csv_ingest": csv_ingest,
+    "malformed_records": malformed_records,
     "parquet_roundtrip": parquet_roundtrip,
     "partition_roundtrip": partition_roundtrip,
     "stored_totals": stored_totals,
+    "stored_totals_append": stored_totals_append,
     "spread_by_date": spread_by_date,
 }

@@ -325,3 +325,12 @@ UNION ALL SELECT 'tipo_incidente', "TIPO_INCIDENTE", NULL, count(*) FROM keyed G
 UNION ALL SELECT 'sunburst', "PRIORIDAD_FINAL", "TIPO_INCIDENTE", count(*) FROM keyed GROUP BY 1, 2, 3""",
     "spread_by_date": 'SELECT CAST(o_orderdate AS DATE) AS "FECHA", count(*) AS "TOTAL" FROM orders GROUP BY 1',
 }
+
+ORACLE["geo_files"] = ORACLE["geo_features"]
+ORACLE["stored_totals_append"] = ORACLE["stored_totals"]
+ORACLE["malformed_records"] = """
+SELECT o_orderpriority || ';' || CAST(o_orderkey AS VARCHAR) || ';x' AS "REGISTRO" FROM orders WHERE o_orderkey % 7 = 0"""
+ORACLE["text_timestamp_formats"] = """
+SELECT event_id, CASE event_id % 5 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('second', ts)
+  WHEN 2 THEN date_trunc('minute', ts) WHEN 3 THEN date_trunc('milliseconds', ts) ELSE date_trunc('day', ts) END AS "TS"
+FROM events"""
