@@ -8,9 +8,10 @@ remains is an exact join key; so every pair under the threshold meets under
 some key. Pairs are checked on whole signatures, then on full shingle sets.
 
 Copies never become pairs: equal sets are one node. Under each key every node
-meets the smallest node only; the links that hold give components; keys whose
-nodes then fall into several components are compared in blocks, only across
-components, so that no link between different texts is lost.
+meets the smallest node only; the links that hold give components. Keys whose
+nodes are in several components get a leader of their own each, and what is
+then still open is compared in blocks, only across components, so that no link
+between different texts is lost.
 """
 
 from __future__ import annotations
@@ -85,6 +86,13 @@ def index_keys(symbols: np.ndarray) -> np.ndarray:
     return np.stack(keys, axis=1)
 
 
+def shared_choices(equal: np.ndarray) -> np.ndarray:
+    """For pairs, given which symbols are equal: which keys they share, in the order of ``index_keys``."""
+    size = INDEXED // CHUNKS
+    kept = [[c * size + j for j in range(size) if j not in out] for c in range(CHUNKS) for out in combinations(range(size), ERRORS)]
+    return equal[:, np.array(kept)].all(axis=2)
+
+
 def _signed(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), row_key(id_col, text_col).alias("_key"), text_bytes(text_col).alias("_text"))
     id_type = rows.schema["_id"].dataType.simpleString()
@@ -120,7 +128,7 @@ def _sig_matrix(column: pa.Array) -> np.ndarray:
 
 
 def _keyed(nodes: DataFrame) -> DataFrame:
-    """``_node``, ``_index``: every node under each of its keys."""
+    """``_node``, ``_choice``, ``_index``: every node under each of its keys, and the key's place among these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,7 +137,7 @@ def _keyed(nodes: DataFrame) -> DataFrame:
             lists = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))
             yield pa.RecordBatch.from_arrays([batch["_node"], lists], names=["_node", "_keys"])
 
-    return nodes.select("_node", "_sig").mapInArrow(run, "_node bigint, _keys array<bigint>").select("_node", F.explode("_keys").alias("_index"))
+    return nodes.select("_node", "_sig").mapInArrow(run, "_node bigint, _keys array<bigint>").select("_node", F.posexplode("_keys").alias("_choice", "_index"))
 
 
 def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -167,18 +175,27 @@ def _linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
 def _across(members: DataFrame, percent: int, flags_only: bool) -> DataFrame:
     """Nodes under one key compared across components, block against block.
 
-    ``members``: ``_index``, ``_node``, ``_root``, ``_n``, ``_most`` (shingles
+    ``members``: ``_index``, ``_choice``, ``_node``, ``_root``, ``_n``, ``_most`` (shingles
     it can share with any other), ``_sig``. Returns pairs ``a``, ``b``, or with
-    ``flags_only`` the nodes that are in any.
+    ``flags_only`` the nodes that are in any. A pair is looked at under the
+    first key that it shares, whatever the number of keys.
     """
     sizes = stored(members.groupBy("_index").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks")), "blocks")
     placed = members.join(sizes, "_index").withColumn("_mine", F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int"))
     placed = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    placed = placed.select("_index", F.least("_mine", "_other").alias("_low"), F.greatest("_mine", "_other").alias("_high"), "_mine", "_node", "_root", "_n", "_most", "_sig")
+    placed = placed.select("_index", "_choice", F.least("_mine", "_other").alias("_low"), F.greatest("_mine", "_other").alias("_high"), "_mine", "_node", "_root", "_n", "_most", "_sig")
     step = ["_index", "_low", "_high"]
 
+    flagged: list[np.ndarray] = []
+
+    def flags() -> pa.RecordBatch:
+        found = np.unique(np.concatenate(flagged)) if flagged else np.zeros(0, np.int64)
+        flagged.clear()
+        return pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["_node"])
+
     def compare(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         sig = _sig_matrix(rows["_sig"])
+        here = rows["_choice"][0].as_py()
         node, root, n, most, mine = (rows[c].to_numpy() for c in ("_node", "_root", "_n", "_most", "_mine"))
         left, right = [], []
         same_block = rows["_low"][0] == rows["_high"][0]
@@ -191,12 +208,18 @@ def _across(members: DataFrame, percent: int, flags_only: bool) -> DataFrame:
             at = np.flatnonzero(ok) + i + 1
             if len(at):
                 at = at[(sig[at] != sig[i]).sum(axis=1) <= MAX_DISTANCE]
+            if len(at):
+                at = at[np.argmax(shared_choices(sig[at] == sig[i]), axis=1) == here]
                 left.append(np.full(len(at), node[i]))
                 right.append(node[at])
         a = np.concatenate(left) if left else np.zeros(0, np.int64)
         b = np.concatenate(right) if right else np.zeros(0, np.int64)
         if flags_only:
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate([a, b])))], names=["_node"])
+            flagged.append(np.unique(np.concatenate([a, b])))
+            if sum(map(len, flagged)) > 200_000:
+                flagged[:] = [np.unique(np.concatenate(flagged))]
+                if len(flagged[0]) > 100_000:
+                    yield flags()
         else:
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
@@ -217,6 +240,8 @@ def _across(members: DataFrame, percent: int, flags_only: bool) -> DataFrame:
                 held.append(batch.slice(a, b - a))
         if held:
             yield from compare(pa.Table.from_batches(held).combine_chunks())
+        if flags_only:
+            yield flags()
 
     kind = "_node bigint" if flags_only else "a bigint, b bigint"
     return placed.repartition(*step).sortWithinPartitions(*step).mapInArrow(run, kind).distinct()
@@ -240,6 +265,13 @@ def _own_shingles(texts: DataFrame, n: int) -> DataFrame:
     return once.groupBy("_node").agg(F.count(F.lit(1)).alias("_own"))
 
 
+def _open_members(keyed: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """Nodes under keys whose nodes are in several components, with root, size and signature."""
+    placed = keyed.join(roots.withColumnsRenamed({"node": "_node", "root": "_root"}), "_node", "left").withColumn("_root", F.coalesce("_root", "_node"))
+    open_keys = stored(placed.groupBy("_index").agg(F.min("_root").alias("lo"), F.max("_root").alias("hi")).where("lo <> hi").select("_index"), "open")
+    return stored(placed.join(open_keys, "_index").select("_index", "_choice", "_node", "_root").join(nodes.select("_node", "_n", "_sig"), "_node"), "open-keys")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: ``_id``, ``_key``, ``_n`` (shingles), ``_group`` and ``_component``.
 
@@ -267,9 +299,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = shared.where("_node <> _lead").select(F.col("_lead").alias("a"), F.col("_node").alias("b")).distinct()
     links = stored(_linked(_close(stars, nodes, percent), texts, shingle_words, percent), "star-links")
     roots = components(links)
-    placed = shared.join(roots.withColumnsRenamed({"node": "_node", "root": "_root"}), "_node", "left").withColumn("_root", F.coalesce("_root", "_node"))
-    open_keys = stored(placed.groupBy("_index").agg(F.min("_root").alias("lo"), F.max("_root").alias("hi")).where("lo <> hi").select("_index"), "open")
-    members = stored(placed.join(open_keys, "_index").select("_index", "_node", "_root").join(nodes.select("_node", "_n", "_sig"), "_node"), "open-keys")
+    members = _open_members(shared, nodes, roots)
+    # keys that are still open get leaders of their own, another under every key
+    own_leads = stored(members.groupBy("_index").agg(F.min(F.struct(F.xxhash64("_node", "_index").alias("h"), F.col("_node").alias("n"), F.col("_root").alias("r"))).alias("_l")), "own-leads")
+    across = members.join(own_leads, "_index").where("_root <> _l.r").select(F.least("_node", "_l.n").alias("a"), F.greatest("_node", "_l.n").alias("b")).distinct()
+    links = links.union(stored(_linked(_close(across, nodes, percent), texts, shingle_words, percent), "own-links"))
+    roots = components(links)
+    members = _open_members(members.drop("_root", "_n", "_sig"), nodes, roots)
     flagged = stored(_across(members.withColumn("_most", F.col("_n")), percent, flags_only=True), "flagged")
     own = _own_shingles(texts.join(flagged, "_node"), shingle_words)
     most = stored(flagged.join(own, "_node", "left").select("_node", F.coalesce("_own", F.lit(0)).alias("_own")), "own")
