@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from almenara.llm.tables import row_key, same_row, text_bytes
+from almenara.llm.tables import row_key, same_row, stored, text_bytes
 
 _BLANK = b" \t\n\r\x0b\x0c"
 
@@ -41,7 +41,8 @@ def shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch["_id"], batch["_key"], pa.array(found, pa.list_(pa.binary()))], names=["_id", "_key", "_lines"])
 
     lines = rows.mapInArrow(hashes, f"_id {id_type}, _key bigint, _lines array<binary>").select("_id", "_key", F.explode("_lines").alias("_line"))
-    common = lines.groupBy("_line").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_keeper")).where(F.col("_n") >= min_docs).drop("_n")
+    counted = lines.groupBy("_line").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_keeper"))
+    common = stored(counted.where(F.col("_n") >= min_docs).drop("_n"), "shared-lines")  # so that the join's hot keys can be split
     dropped = lines.join(common, "_line").where(~F.col("_id").eqNullSafe(F.col("_keeper")))
     return dropped.groupBy("_id", "_key").agg(F.collect_set("_line").alias("_drop"))
 
