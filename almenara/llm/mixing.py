@@ -100,10 +100,13 @@ def mix_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "_part": F.greatest(F.least(F.col("_size"), room), F.lit(0)),
     }).withColumn("_band", F.least(F.floor(F.col("_finish") * (buckets // 2)), F.lit(buckets)).cast("int"))
     copies = stored(copies, "mix-copies")
-    queued = running_total(copies.repartitionByRange("_band"), [], "_band", [F.col("_finish"), *order, F.col("_epoch"), F.col("_nth")], "_part", "_mixed")
+    waiting = copies.where("_part > 0")  # the others, past their source's target, would all end up in the last band
+    queued = running_total(waiting.repartitionByRange("_band"), [], "_band", [F.col("_finish"), *order, F.col("_epoch"), F.col("_nth")], "_part", "_mixed")
     limit = F.lit(budget) if budget is not None else F.col("_total")
     taken = F.greatest(F.least(F.col("_part"), limit - (F.col("_mixed") - F.col("_part"))), F.lit(0))
-    return queued.withColumn("_taken", taken).select("_id", "_source", "_slot", "_shuffle", "_nth", "_size", "_source_size", "_target", "_epoch", "_finish", "_taken")
+    columns = ["_id", "_source", "_slot", "_shuffle", "_nth", "_size", "_source_size", "_target", "_epoch", "_finish", "_taken"]
+    idle = copies.where("_part = 0").withColumn("_taken", F.lit(0).cast("bigint"))
+    return queued.withColumn("_taken", taken).select(columns).unionByName(idle.select(columns))
 
 
 def mix_sources(docs: DataFrame, **options) -> DataFrame:
