@@ -72,8 +72,24 @@ def _steps(words: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return edges[doc] + inner * STEP, doc
 
 
+def row_sums(table: np.ndarray, index: np.ndarray, begin: np.ndarray, size: np.ndarray, most: int) -> np.ndarray:
+    """Sum of ``table[index]`` over runs of at most ``most`` entries, one place in the runs at a time."""
+    out = table[index[begin]]
+    for k in range(1, most):
+        on = size > k
+        if on.all():
+            out += table[index[begin + k]]
+        else:
+            out[on] += table[index[begin[on] + k]]
+    return out
+
+
 def sketch_block(words: np.ndarray, edges: np.ndarray, test: np.ndarray, frequency: np.ndarray, sketch: np.ndarray) -> int:
-    """Adds one run of documents; its passages lie side by side. Returns their number."""
+    """Adds one run of documents; its passages lie side by side. Returns their number.
+
+    Terms that are frequent in the run are multiplied as a dense matrix; the
+    others are added in rounds, the n-th occurrence of each in the n-th.
+    """
     if not len(words):
         return 0
     term = terms(words)
@@ -83,13 +99,27 @@ def sketch_block(words: np.ndarray, edges: np.ndarray, test: np.ndarray, frequen
     begin = edges[doc] + inner * PASSAGE
     size = np.diff(np.append(begin, len(words)))
     passage = np.repeat(np.arange(len(begin)), size)
-    projected = np.add.reduceat(test[term], begin, axis=0)
-    order = np.argsort(term, kind="stable")
+    projected = row_sums(test, term, begin, size, PASSAGE)
+    order = np.argsort(term.astype(np.uint16), kind="stable")  # a radix sort
     t, p = term[order], passage[order]
     firsts = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
-    sketch[t[firsts]] += np.add.reduceat(projected[p], firsts, axis=0)
+    times = np.diff(np.append(firsts, len(t)))
     once = np.concatenate([[True], (t[1:] != t[:-1]) | (p[1:] != p[:-1])])  # a term counts once in a passage
     frequency += np.bincount(t[once], minlength=len(frequency))
+    many = np.flatnonzero(times > 16)
+    column = np.full(len(frequency), -1)
+    column[t[firsts[many]]] = np.arange(len(many))
+    for at in range(0, len(begin), 1024):
+        lo, hi = begin[at], len(words) if at + 1024 >= len(begin) else begin[at + 1024]
+        c, q = column[term[lo:hi]], passage[lo:hi] - at
+        n = min(1024, len(begin) - at)
+        dense = np.bincount((c * n + q)[c >= 0], minlength=len(many) * n).astype(np.float32).reshape(len(many), n)
+        sketch[t[firsts[many]]] += dense @ projected[at : at + n]
+    few = np.flatnonzero(times <= 16)
+    for k in range(16):
+        few = few[times[few] > k]
+        at = firsts[few] + k
+        sketch[t[at]] += projected[p[at]]
     return len(begin)
 
 
@@ -134,12 +164,12 @@ def latent_space(docs: DataFrame, text_col: str = "text") -> Space:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         test = test_matrix()
-        sums, n = np.zeros((1 << TERM_BITS, width)), 0
+        sketch, n = np.zeros(test.shape, np.float32), 0
         frequency = np.zeros(1 << TERM_BITS)
         for batch in batches:
             for _, words, edges, _ in _segments(batch["_text"], 0):
-                n += sketch_block(words, edges, test, frequency, sums[:, :-1])
-        sums[:, -1] = frequency
+                n += sketch_block(words, edges, test, frequency, sketch)
+        sums = np.concatenate([sketch, frequency[:, None]], axis=1)
         yield rows({**{i: sums[i * _PART : (i + 1) * _PART] for i in range(len(sums) // _PART) if n}, -1: np.array([[float(n)]])})
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,27 +223,30 @@ def benchmark_items(ids: list, texts: list[str | None], term_vectors: np.ndarray
         if len(w):
             kept.append(id_)
             words.append(w)
-    windows = np.array([max(1, (len(w) - WINDOW) // STEP + 1) for w in words], np.int64)
+    windows = np.array([max(1, len(w) // WINDOW) for w in words], np.int64)
     vectors = []
     for k in range(windows.max(initial=0)):
         who = np.flatnonzero(windows > k)
-        vectors.append((who, unit(np.array([term_vectors[terms(words[i][k * STEP : k * STEP + WINDOW])].sum(axis=0) for i in who], np.float32))))
+        vectors.append((who, unit(np.array([term_vectors[terms(words[i][k * WINDOW : (k + 1) * WINDOW])].sum(axis=0) for i in who], np.float32))))
     return Items(kept, words, windows, vectors)
 
 
 def candidates(windows: np.ndarray, bench: Items, cosine: float, rows: int = 4096) -> tuple[np.ndarray, ...]:
-    """Window, item and average cosine where an item's windows in order agree with the text's."""
+    """Window, item and average cosine where an item's windows, side by side, agree with the text's."""
     found = []
-    reach = len(bench.vectors) - 1
+    apart = WINDOW // STEP
+    reach = apart * (len(bench.vectors) - 1)
     for at in range(0, len(windows), rows):
         part = windows[at : at + rows + reach]
         n = min(rows, len(part))
         total = np.zeros((n, len(bench.ids)), np.float32)
         for k, (who, vectors) in enumerate(bench.vectors):
-            if len(part) > k:
-                here = part[k : k + n]
+            here = part[apart * k : apart * k + n]
+            if len(who) == total.shape[1]:
+                total[: len(here)] += here @ vectors.T
+            elif len(here):
                 total[: len(here), who] += here @ vectors.T
-        total /= bench.windows
+        total /= bench.windows.astype(np.float32)
         w, i = np.nonzero(total >= cosine)
         found.append((w + at, i, total[w, i]))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
@@ -252,7 +285,7 @@ def common_subsequence(pattern: np.ndarray, text: np.ndarray, inside: np.ndarray
     return np.bitwise_count(matched).astype(np.int64), np.bitwise_count(matched >> np.uint64(len(pattern) - tail)).astype(np.int64)
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", cosine: float = 0.45, share: float = 0.6, answer_share: float = 0.4) -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", cosine: float = 0.5, share: float = 0.6, answer_share: float = 0.4) -> DataFrame:
     """Documents that hold a benchmark item, whole or reworded, one row per document and item.
 
     ``_id``, ``_key``, ``_item``, ``_cosine`` (average over the item's windows at
@@ -281,28 +314,36 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         if not len(words) or not bench.ids:
             return
         begin, doc = _steps(words, edges)
-        steps = np.add.reduceat(table[terms(words)], begin, axis=0)
-        sums = np.concatenate([np.zeros((1, steps.shape[1])), np.cumsum(steps, axis=0, dtype=np.float64)])
+        term = terms(words)
+        steps = row_sums(table, term, begin, np.minimum(edges[doc + 1] - begin, STEP), STEP)
         ends = np.searchsorted(doc, np.arange(len(edges)), side="left")
-        stop = np.minimum(np.arange(len(doc)) + WINDOW // STEP, ends[doc + 1])
-        window, item, value = candidates(unit((sums[stop] - sums[:-1]).astype(np.float32)), bench, cosine)
+        windows = steps.copy()
+        for k in range(1, WINDOW // STEP):
+            at = np.flatnonzero(np.arange(len(doc)) + k < ends[doc + 1])
+            windows[at] += steps[at + k]
+        window, item, value = candidates(unit(windows), bench, cosine)
         order = np.argsort(item, kind="stable")
         window, item, value = window[order], item[order], value[order]
         for i in np.unique(item):
             a, b = np.searchsorted(item, [i, i + 1])
-            yield from check(words, edges, begin, doc, window[a:b], int(i), value[a:b], bench.words[i])
+            yield from check(words, term, edges, begin, doc, window[a:b], int(i), value[a:b], bench.words[i])
 
-    def check(words, edges, begin, doc, window, i, value, pattern) -> Iterator[tuple]:
+    def check(words, term, edges, begin, doc, window, i, value, pattern) -> Iterator[tuple]:
+        known = np.zeros(1 << TERM_BITS, bool)
+        known[terms(pattern)] = True
         for at in range(0, len(window), 8192):
             w = window[at : at + 8192]
             place = begin[w][:, None] + np.arange(-STEP, len(pattern) + STEP)
             inside = (place >= edges[doc[w]][:, None]) & (place < edges[doc[w] + 1][:, None])
-            text = words[np.clip(place, 0, len(words) - 1)]
-            length, tail = common_subsequence(pattern, text, inside)
+            place = np.clip(place, 0, len(words) - 1)
+            # no subsequence is longer than the number of the pattern's words there
+            enough = (known[term[place]] & inside).sum(axis=1) >= share * len(pattern)
+            w, score = w[enough], value[at : at + 8192][enough]
+            length, tail = common_subsequence(pattern, words[place[enough]], inside[enough])
             whole, answer = length / len(pattern), tail / max(1, len(pattern) // 5)
             for k in np.flatnonzero((whole >= (share if len(pattern) >= 5 else 1.0)) & (answer >= answer_share)):
                 d = int(doc[w[k]])
-                yield d, i, float(value[at + k]), float(whole[k]), float(answer[k]), int(begin[w[k]] - edges[d])
+                yield d, i, float(score[k]), float(whole[k]), float(answer[k]), int(begin[w[k]] - edges[d])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
