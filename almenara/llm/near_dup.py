@@ -36,6 +36,8 @@ INDEXED, CHUNKS, ERRORS = 48, 12, 1
 #: signatures at a greater distance are not compared on their sets. At a
 #: similarity of 0.8 the distance is 25.6 on average with a deviation of 4.5
 MAX_DISTANCE = 43
+#: bits of the sketch that bounds the difference of two sets from below
+SKETCH_BITS = 2048
 #: nodes compared in one step under a key
 BLOCK = 512
 
@@ -175,15 +177,15 @@ def _linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
 def _across(members: DataFrame, percent: int, flags_only: bool) -> DataFrame:
     """Nodes under one key compared across components, block against block.
 
-    ``members``: ``_index``, ``_choice``, ``_node``, ``_root``, ``_n``, ``_most`` (shingles
-    it can share with any other), ``_sig``. Returns pairs ``a``, ``b``, or with
-    ``flags_only`` the nodes that are in any. A pair is looked at under the
-    first key that it shares, whatever the number of keys.
+    ``members``: ``_index``, ``_choice``, ``_node``, ``_root``, ``_n``, ``_sig`` and, but
+    for ``flags_only``, ``_sketch``. Returns pairs ``a``, ``b`` that their sketches
+    allow, or with ``flags_only`` the nodes near any other by signature. A pair is
+    looked at under the first key that it shares, whatever the number of keys.
     """
     sizes = stored(members.groupBy("_index").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks")), "blocks")
     placed = members.join(sizes, "_index").withColumn("_mine", F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int"))
     placed = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    placed = placed.select("_index", "_choice", F.least("_mine", "_other").alias("_low"), F.greatest("_mine", "_other").alias("_high"), "_mine", "_node", "_root", "_n", "_most", "_sig")
+    placed = placed.select("_index", "_choice", F.least("_mine", "_other").alias("_low"), F.greatest("_mine", "_other").alias("_high"), "_mine", "_node", "_root", "_n", "_sig", *([] if flags_only else ["_sketch"]))
     step = ["_index", "_low", "_high"]
 
     flagged: list[np.ndarray] = []
@@ -196,18 +198,20 @@ def _across(members: DataFrame, percent: int, flags_only: bool) -> DataFrame:
     def compare(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         sig = _sig_matrix(rows["_sig"])
         here = rows["_choice"][0].as_py()
-        node, root, n, most, mine = (rows[c].to_numpy() for c in ("_node", "_root", "_n", "_most", "_mine"))
+        node, root, n, mine = (rows[c].to_numpy() for c in ("_node", "_root", "_n", "_mine"))
+        bits = None if flags_only else column_bytes(rows["_sketch"])[0].view(np.uint64).reshape(len(node), -1)
         left, right = [], []
         same_block = rows["_low"][0] == rows["_high"][0]
         for i in range(len(node) - 1):
             j = slice(i + 1, None)
-            can = np.minimum(most[i], most[j])
-            ok = (root[j] != root[i]) & (100 * can >= percent * (n[i] + n[j] - can))
+            ok = (root[j] != root[i]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
             if not same_block:
                 ok &= mine[j] != mine[i]
             at = np.flatnonzero(ok) + i + 1
             if len(at):
                 at = at[(sig[at] != sig[i]).sum(axis=1) <= MAX_DISTANCE]
+            if len(at) and bits is not None:
+                at = at[may_link(bits[i], bits[at], n[i], n[at], percent)]
             if len(at):
                 at = at[np.argmax(shared_choices(sig[at] == sig[i]), axis=1) == here]
                 left.append(np.full(len(at), node[i]))
@@ -247,22 +251,30 @@ def _across(members: DataFrame, percent: int, flags_only: bool) -> DataFrame:
     return placed.repartition(*step).sortWithinPartitions(*step).mapInArrow(run, kind).distinct()
 
 
-def _own_shingles(texts: DataFrame, n: int) -> DataFrame:
-    """``_node``, ``_own``: shingles that no other of these nodes has."""
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Per hash bucket, whether an odd number of shingles falls into it, as words of 64 bits.
+
+    Two sets differ in at least as many shingles as their sketches in bits.
+    """
+    buckets = (mix(shingles) >> np.uint64(32)).astype(np.int64) % SKETCH_BITS
+    return np.packbits(np.bincount(buckets, minlength=SKETCH_BITS) & 1).view(np.uint64)
+
+
+def may_link(bits: np.ndarray, others: np.ndarray, n: int, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """False where sketches differ in more bits than sets of these sizes may in shingles."""
+    differ = np.bitwise_count(others ^ bits).sum(axis=1, dtype=np.int64)
+    return (100 + percent) * differ <= (100 - percent) * (n + sizes)
+
+
+def _sketched(texts: DataFrame, n: int) -> DataFrame:
+    """``_node`` and ``_sketch``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), 64):
-                part = batch.slice(at, 64)
-                sets = list(text_sets(part["_text"], n))
-                values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-                offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part["_node"], lists], names=["_node", "_sets"])
+            bits = [sketch(found).tobytes() for found in text_sets(batch["_text"], n)]
+            yield pa.RecordBatch.from_arrays([batch["_node"], pa.array(bits, pa.binary())], names=["_node", "_sketch"])
 
-    shingles = texts.select("_node", "_text").mapInArrow(run, "_node bigint, _sets array<bigint>").select("_node", F.explode("_sets").alias("_shingle"))
-    once = shingles.groupBy("_shingle").agg(F.min("_node").alias("_node"), F.count(F.lit(1)).alias("_c")).where("_c = 1")
-    return once.groupBy("_node").agg(F.count(F.lit(1)).alias("_own"))
+    return texts.select("_node", "_text").mapInArrow(run, "_node bigint, _sketch binary")
 
 
 def _open_members(keyed: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
@@ -306,11 +318,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = links.union(stored(_linked(_close(across, nodes, percent), texts, shingle_words, percent), "own-links"))
     roots = components(links)
     members = _open_members(members.drop("_root", "_n", "_sig"), nodes, roots)
-    flagged = stored(_across(members.withColumn("_most", F.col("_n")), percent, flags_only=True), "flagged")
-    own = _own_shingles(texts.join(flagged, "_node"), shingle_words)
-    most = stored(flagged.join(own, "_node", "left").select("_node", F.coalesce("_own", F.lit(0)).alias("_own")), "own")
-    bounded = members.join(most, "_node").withColumn("_most", F.col("_n") - F.col("_own")).drop("_own")
-    more = _linked(_across(bounded, percent, flags_only=False), texts, shingle_words, percent)
+    flagged = stored(_across(members, percent, flags_only=True), "flagged")
+    sketches = stored(_sketched(texts.join(flagged, "_node"), shingle_words), "sketches")
+    more = _linked(_across(members.join(sketches, "_node"), percent, flags_only=False), texts, shingle_words, percent)
     rooted = more.join(roots.withColumnsRenamed({"node": "a", "root": "ra"}), "a", "left").join(roots.withColumnsRenamed({"node": "b", "root": "rb"}), "b", "left")
     merged = components(rooted.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
     return _resolve(signed, roots, merged)

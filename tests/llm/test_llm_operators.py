@@ -214,6 +214,19 @@ def test_index_finds_all_pairs_under_the_distance():
     assert (near_dup.shared_choices(a == b) == shared).all()
 
 
+def test_sketches_allow_every_linked_pair():
+    rnd = np.random.default_rng(3)
+    for size in (1, 4, 30, 200, 3000, 20000):
+        a = rnd.integers(0, 1 << 63, size).astype(np.uint64)
+        bits = near_dup.sketch(a)
+        for out in {0, size // 10, size // 9, size // 8, size // 2}:
+            b = np.concatenate([a[out:], rnd.integers(0, 1 << 63, out).astype(np.uint64)])
+            linked = 100 * (size - out) >= 80 * (size + out)
+            may = near_dup.may_link(bits, near_dup.sketch(b)[None], size, np.array([len(b)]), 80)[0]
+            assert may or not linked
+            assert size > 200 or size < 4 or out < size // 2 or not may
+
+
 def test_drop_near_duplicates_odd_rows(spark):
     texts = ["a b c d e f g", "a b c d e f g", None, "", "A B c d e f g", "z"]
     kept = near_dup.drop_near_duplicates(frame(spark, texts, ids=[5, 3, 1, 2, None, None])).collect()
