@@ -10,7 +10,9 @@ values and right singular vectors, the randomised SVD.
 
 A second pass projects short windows of every text and of the benchmark items
 and compares them by cosine. An item is a candidate where its windows, taken in
-order, agree with the text's on average. Candidates are checked where they are
+order, agree with the text's on average, and wherever the text has so many of
+its rare words that the check below is not ruled out; so no pair that the check
+accepts is lost, whatever its cosine. Candidates are checked where they are
 found: the longest common subsequence of words, then the item's last words,
 where its answer is.
 """
@@ -22,11 +24,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almenara.llm.arrays import PIECE, column_bytes, document_blocks, mix, seeds, word_hashes
-from almenara.llm.tables import row_key, text_bytes
+from almenara.llm.tables import row_key
 
 TERM_BITS, RANK, EXTRA = 15, 48, 16
 #: leading directions that are not compared: they tell languages apart
@@ -45,6 +47,11 @@ def test_matrix() -> np.ndarray:
     return np.where(h & np.uint64(1), 1.0, -1.0).astype(np.float32).reshape(n, k)
 
 
+def lower_text(text_col: str) -> Column:
+    """A text in lower case, letters beyond ASCII too; null is empty."""
+    return F.coalesce(F.lower(F.col(f"`{text_col}`").cast("string")), F.lit(""))
+
+
 def terms(words: np.ndarray) -> np.ndarray:
     return (words >> np.uint64(64 - TERM_BITS)).astype(np.int64)
 
@@ -187,7 +194,7 @@ def latent_space(docs: DataFrame, text_col: str = "text") -> Space:
         packed = [x.astype(np.float64 if i < 0 else np.float32).tobytes() for i, x in parts.items()]
         return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array(packed, pa.binary())], names=["part", "sums"])
 
-    partial = docs.select(text_bytes(text_col).alias("_text")).mapInArrow(gather, kind).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(16)))
+    partial = docs.select(lower_text(text_col).cast("binary").alias("_text")).mapInArrow(gather, kind).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(16)))
     got = partial.repartition("part", "salt").select("part", "sums").mapInArrow(combine, kind).repartition("part").mapInArrow(combine, kind).toArrow()
     sums, n = np.zeros((1 << TERM_BITS, width)), 0
     for part, value in zip(got["part"].to_pylist(), got["sums"].to_pylist(), strict=True):
@@ -207,6 +214,13 @@ class Items:
     #: windows of each item, and the vectors of all items' k-th windows
     windows: np.ndarray
     vectors: list[tuple[np.ndarray, np.ndarray]]
+    #: rare words in order; of each the first of its items in ``holders``; how many an item needs at its place
+    rare: np.ndarray
+    firsts: np.ndarray
+    holders: np.ndarray
+    needs: np.ndarray
+    #: terms of the rare words
+    rare_terms: np.ndarray
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -214,8 +228,33 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.where(length > 0, length, 1)
 
 
-def benchmark_items(ids: list, texts: list[str | None], term_vectors: np.ndarray) -> Items:
-    """Items with at least one word."""
+def least_words(n: int, share: float) -> int:
+    """Words that the subsequence must have for an item of ``n`` words; under five all."""
+    return n if n < 5 else next(k for k in range(max(0, int(share * n) - 1), n + 2) if k / n >= share)
+
+
+def rare_words(words: np.ndarray, chance: np.ndarray, share: float) -> tuple[np.ndarray, int]:
+    """An item's rarest words, and how many of their occurrences a text must have at its place.
+
+    A subsequence leaves out at most so many of the item's words; of any set of
+    more of them the rest is in it. The fewest words are taken that a random
+    text has so often with a chance (Chernoff's bound) of under exp(-14).
+    """
+    lost = len(words) - least_words(len(words), share)
+    if lost < 0:  # no text can reach such a share
+        return words[:0], 1
+    p = chance[terms(words)]
+    order = np.argsort(p, kind="stable")
+    sums = (len(words) + 2 * STEP) * np.cumsum(p[order])[lost:] + 1e-9
+    needs = np.arange(1, len(sums) + 1)
+    bound = np.where(needs > sums, needs - sums - needs * np.log(needs / sums), 0.0)
+    enough = np.flatnonzero(bound < -14)
+    take = int(enough[0] if len(enough) else np.argmin(bound))
+    return np.unique(words[order[: lost + take + 1]]), take + 1
+
+
+def benchmark_items(ids: list, texts: list[str | None], term_vectors: np.ndarray, chance: np.ndarray, share: float) -> Items:
+    """Items with at least one word; ``chance``: of each term, that a word is that term."""
     kept, words = [], []
     for id_, text in zip(ids, texts, strict=True):
         data = np.frombuffer((text or "").encode(), np.uint8)
@@ -228,7 +267,14 @@ def benchmark_items(ids: list, texts: list[str | None], term_vectors: np.ndarray
     for k in range(windows.max(initial=0)):
         who = np.flatnonzero(windows > k)
         vectors.append((who, unit(np.array([term_vectors[terms(words[i][k * WINDOW : (k + 1) * WINDOW])].sum(axis=0) for i in who], np.float32))))
-    return Items(kept, words, windows, vectors)
+    picked = [rare_words(w, chance, share) for w in words]
+    hashes = np.concatenate([np.zeros(0, np.uint64), *(r for r, _ in picked)])
+    holders = np.repeat(np.arange(len(words)), [len(r) for r, _ in picked])
+    order = np.argsort(hashes, kind="stable")
+    rare, firsts = np.unique(hashes[order], return_index=True)
+    rare_terms = np.zeros(1 << TERM_BITS, bool)
+    rare_terms[terms(rare)] = True
+    return Items(kept, words, windows, vectors, rare, np.append(firsts, len(hashes)), holders[order], np.array([k for _, k in picked], np.int64), rare_terms)
 
 
 def candidates(windows: np.ndarray, bench: Items, cosine: float, rows: int = 4096) -> tuple[np.ndarray, ...]:
@@ -252,6 +298,52 @@ def candidates(windows: np.ndarray, bench: Items, cosine: float, rows: int = 409
     return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
 
 
+def places(words: np.ndarray, term: np.ndarray, edges: np.ndarray, bench: Items) -> tuple[np.ndarray, np.ndarray]:
+    """Window and item wherever the words around the window do not rule out the subsequence."""
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.flatnonzero(bench.rare_terms[term])
+    if not len(at):
+        return none
+    k = np.minimum(np.searchsorted(bench.rare, words[at]), len(bench.rare) - 1)
+    same = bench.rare[k] == words[at]
+    at, k = at[same], k[same]
+    times = bench.firsts[k + 1] - bench.firsts[k]
+    inner = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    item, at = bench.holders[np.repeat(bench.firsts[k], times) + inner], np.repeat(at, times)
+    order = np.argsort(item, kind="stable")  # positions stay in order
+    item, at = item[order], at[order]
+    doc = np.searchsorted(edges, at, side="right") - 1
+    # from each occurrence to that which makes enough
+    last = np.arange(len(at)) + bench.needs[item] - 1
+    a = np.flatnonzero(last < len(at))
+    b = last[a]
+    size = np.array([len(w) for w in bench.words], np.int64)[item[a]]
+    on = (item[a] == item[b]) & (doc[a] == doc[b]) & (at[b] - at[a] < size + 2 * STEP)
+    a, b, size = a[on], b[on], size[on]
+    if not len(a):
+        return none
+    # the windows whose surroundings, as in the check, hold both
+    counts = -(-np.diff(edges) // STEP)
+    steps, start = (np.cumsum(counts) - counts)[doc[a]], edges[doc[a]]
+    low = np.maximum((at[b] - start - size - STEP) // STEP + 1, 0)
+    high = np.minimum((at[a] - start + STEP) // STEP, counts[doc[a]] - 1)
+    times = np.maximum(high - low + 1, 0)
+    inner = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    window = np.repeat(steps + low, times) + inner
+    both = np.unique(np.repeat(item[a], times) * counts.sum() + window)
+    return both % counts.sum(), both // counts.sum()
+
+
+def agreement(windows: np.ndarray, window: np.ndarray, i: int, bench: Items) -> np.ndarray:
+    """Average cosine of an item's windows with the text's from each of ``window`` on."""
+    total = np.zeros(len(window), np.float32)
+    for k, (who, vectors) in enumerate(bench.vectors[: bench.windows[i]]):
+        here = window + WINDOW // STEP * k
+        on = here < len(windows)
+        total[on] += windows[here[on]] @ vectors[np.searchsorted(who, i)]
+    return total / bench.windows[i]
+
+
 def common_subsequence(pattern: np.ndarray, text: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Longest common subsequence of ``pattern`` with every row of ``text``; ``inside`` marks its words.
 
@@ -301,12 +393,13 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     """
     space = latent_space(docs, text_col)
     term_vectors = space.project()
-    rows = items.select(item_col, item_text_col).toArrow()
-    found = benchmark_items(rows[item_col].to_pylist(), rows[item_text_col].to_pylist(), term_vectors)
+    rows = items.select(F.col(f"`{item_col}`"), lower_text(item_text_col).alias("_text")).toArrow()
+    chance = np.where(space.idf > 0, np.exp(-space.idf) / PASSAGE, 0)
+    found = benchmark_items(rows[item_col].to_pylist(), rows["_text"].to_pylist(), term_vectors, chance, share)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((term_vectors, found))
     overlap = max([WINDOW, *(len(w) for w in found.words)]) + 2 * STEP
-    source = docs.select(F.col(f"`{id_col}`").alias("_id"), row_key(id_col, text_col).alias("_key"), text_bytes(text_col).alias("_text"))
+    source = docs.select(F.col(f"`{id_col}`").alias("_id"), row_key(id_col, text_col).alias("_key"), lower_text(text_col).cast("binary").alias("_text"))
     id_type, item_type = source.schema["_id"].dataType.simpleString(), dict(items.dtypes)[item_col]
 
     def search(words: np.ndarray, edges: np.ndarray) -> Iterator[tuple]:
@@ -321,14 +414,17 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         for k in range(1, WINDOW // STEP):
             at = np.flatnonzero(np.arange(len(doc)) + k < ends[doc + 1])
             windows[at] += steps[at + k]
-        window, item, value = candidates(unit(windows), bench, cosine)
-        order = np.argsort(item, kind="stable")
-        window, item, value = window[order], item[order], value[order]
+        windows = unit(windows)
+        window, item, _ = candidates(windows, bench, cosine)
+        more, of = places(words, term, edges, bench)
+        both = np.unique(np.concatenate([item, of]) * len(doc) + np.concatenate([window, more]))
+        item, window = both // len(doc), both % len(doc)
         for i in np.unique(item):
             a, b = np.searchsorted(item, [i, i + 1])
-            yield from check(words, term, edges, begin, doc, window[a:b], int(i), value[a:b], bench.words[i])
+            yield from check(words, term, edges, begin, doc, windows, window[a:b], int(i), bench)
 
-    def check(words, term, edges, begin, doc, window, i, value, pattern) -> Iterator[tuple]:
+    def check(words, term, edges, begin, doc, windows, window, i, bench) -> Iterator[tuple]:
+        pattern = bench.words[i]
         known = np.zeros(1 << TERM_BITS, bool)
         known[terms(pattern)] = True
         for at in range(0, len(window), 8192):
@@ -338,10 +434,12 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
             place = np.clip(place, 0, len(words) - 1)
             # no subsequence is longer than the number of the pattern's words there
             enough = (known[term[place]] & inside).sum(axis=1) >= share * len(pattern)
-            w, score = w[enough], value[at : at + 8192][enough]
+            w = w[enough]
             length, tail = common_subsequence(pattern, words[place[enough]], inside[enough])
             whole, answer = length / len(pattern), tail / max(1, len(pattern) // 5)
-            for k in np.flatnonzero((whole >= (share if len(pattern) >= 5 else 1.0)) & (answer >= answer_share)):
+            held = np.flatnonzero((whole >= (share if len(pattern) >= 5 else 1.0)) & (answer >= answer_share))
+            score = dict(zip(held, agreement(windows, w[held], i, bench), strict=True))
+            for k in held:
                 d = int(doc[w[k]])
                 yield d, i, float(score[k]), float(whole[k]), float(answer[k]), int(begin[w[k]] - edges[d])
 

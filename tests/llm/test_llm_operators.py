@@ -367,6 +367,48 @@ def test_leaks_reworded_and_odd(spark):
     assert decontaminate.find_leaks(frame(spark, texts), items.limit(0)).count() == 0
 
 
+def test_leaks_at_any_offset_and_with_two_fifths_changed(spark):
+    """Items of all lengths, in capitals, and with so many words changed as the share permits, whatever their cosine."""
+    rnd = random.Random(6)
+    vocab = [f"ñé{i}" for i in range(400)]
+    prose = lambda n: [rnd.choice(vocab) for _ in range(n)]
+    items = [prose(n) for n in (5, 14, 15, 23, 31, 32, 40, 59, 90, 140)]
+    texts, want = [" ".join(prose(200)) for _ in range(60)], set()
+    for i, item in enumerate(items):
+        for offset in range(8):
+            out = [k for k in range(len(item)) if k % 5 in (1, 3)][: 2 * len(item) // 5]
+            changed = [f"new{rnd.randrange(10**6)}" if k in out else w for k, w in enumerate(item)]
+            for copy in (item, [w.upper() for w in item], changed):
+                want.add((len(texts), i))
+                texts.append(" ".join(prose(40 + offset) + copy + prose(30)))
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id int, text string")
+    got = {(r._id, r._item) for r in decontaminate.find_leaks(frame(spark, texts), table).collect()}
+    assert want - got == set()
+
+
+def test_places_hold_every_window_that_the_check_accepts():
+    rnd = np.random.default_rng(7)
+    for common in (30, 300):  # few words, so that items and texts agree by chance
+        words_ = rnd.integers(0, 1 << 63, common).astype(np.uint64)[np.minimum(rnd.geometric(0.1, 3000) * rnd.integers(1, 4, 3000), common) - 1]
+        edges = np.array([0, 700, 703, 703, 3000])
+        frequency = np.bincount(decontaminate.terms(words_), minlength=1 << decontaminate.TERM_BITS)
+        items = [words_[a : a + n] for a, n in ((10, 5), (333, 14), (900, 31), (2000, 64))]
+        data = [" ".join(map(str, w)) for w in items]
+        bench = decontaminate.benchmark_items(list(range(4)), data, np.zeros((1 << decontaminate.TERM_BITS, 2), np.float32), frequency / 3000, 0.6)
+        named = {int(w): word_hashes(np.frombuffer(str(w).encode(), np.uint8), np.array([0, len(str(w))]))[0][0] for w in np.unique(words_)}
+        hashed = np.array([named[int(w)] for w in words_])
+        window, item = decontaminate.places(hashed, decontaminate.terms(hashed), edges, bench)
+        got = set(zip(window.tolist(), item.tolist(), strict=True))
+        begin, doc = decontaminate._steps(hashed, edges)
+        want = set()
+        for w, (b, d) in enumerate(zip(begin, doc, strict=True)):
+            for i, pattern in enumerate(bench.words):
+                near = hashed[max(b - 8, edges[d]) : min(b + len(pattern) + 8, edges[d + 1])]
+                if brute_lcs(pattern.tolist(), near.tolist()) >= 0.6 * len(pattern):
+                    want.add((w, i))
+        assert len(want) > 10 and want <= got
+
+
 # --- learned scores ----------------------------------------------------------
 
 

@@ -70,6 +70,28 @@ def test_leaks_are_the_items_that_documents_hold(spark, sf_dir):
     assert not got & clear
 
 
+def test_every_verbatim_leak_is_found(spark):
+    """Upper and lower case and punctuation aside, by the share of an item's 3-word runs."""
+    import re
+
+    sf_dir = "/root/testdata/sf0.1"
+    runs = lambda t: {tuple(w) for w in zip(*[re.findall(r"\w+", (t or "").lower())[k:] for k in range(3)], strict=False)}
+    items = {i.item_id: runs(i.text) for i in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()}
+    holding: dict = {}
+    for i, grams in items.items():
+        for g in grams:
+            holding.setdefault(g, []).append(i)
+    want = set()
+    for d in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect():
+        hits: dict = {}
+        for g in runs(d.text):
+            for i in holding.get(g, ()):
+                hits[i] = hits.get(i, 0) + 1
+        want |= {(d.doc_id, i) for i, n in hits.items() if n >= 0.3 * len(items[i])}
+    got = {(r.doc_id, r.item_id) for r in QUERIES["op4_decontaminate"](spark, sf_dir).collect()}
+    assert len(want) > 200 and got == want
+
+
 def test_secrets_of_known_shape(spark, sf_dir):
     from almenara.llm.secrets import scan_secrets
 
