@@ -13,8 +13,8 @@ and compares them by cosine. An item is a candidate where its windows, taken in
 order, agree with the text's on average, and wherever the text has so many of
 its rare words that the check below is not ruled out; so no pair that the check
 accepts is lost, whatever its cosine. Candidates are checked where they are
-found: the longest common subsequence of words, then the item's last words,
-where its answer is.
+found: the longest common subsequence of words, then, for reworded items, the
+last words, where the answer is.
 """
 
 from __future__ import annotations
@@ -377,14 +377,26 @@ def common_subsequence(pattern: np.ndarray, text: np.ndarray, inside: np.ndarray
     return np.bitwise_count(matched).astype(np.int64), np.bitwise_count(matched >> np.uint64(len(pattern) - tail)).astype(np.int64)
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", cosine: float = 0.5, share: float = 0.6, answer_share: float = 0.4) -> DataFrame:
+def longest_run(pattern: np.ndarray, text: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """Longest run of words that ``pattern`` has in common with every row of ``text``; ``inside`` marks its words."""
+    best = np.zeros(len(text), np.int64)
+    now = np.zeros((len(text), len(pattern) + 1), np.int64)
+    for t in range(text.shape[1]):
+        now[:, 1:] = np.where((text[:, t, None] == pattern) & inside[:, t, None], now[:, :-1] + 1, 0)
+        best = np.maximum(best, now.max(axis=1))
+    return best
+
+
+def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", cosine: float = 0.5, share: float = 0.6, answer_share: float = 0.4, whole_share: float = 0.8) -> DataFrame:
     """Documents that hold a benchmark item, whole or reworded, one row per document and item.
 
     ``_id``, ``_key``, ``_item``, ``_cosine`` (average over the item's windows at
     the best place), ``_share`` (of the item's words in the longest common
     subsequence with the text there), ``_answer`` (share of its last fifth),
-    ``_word`` (that place, in words). A pair counts if ``_share`` and
-    ``_answer`` reach their limits.
+    ``_word`` (that place, in words). A pair counts if ``_share`` reaches
+    ``share`` and any of these holds: ``_share`` reaches ``whole_share``; a run
+    of words that the text has word for word reaches ``share`` of the item;
+    ``_answer`` reaches ``answer_share``, as an item reworded further must.
 
     Only the benchmark is held by every task; it must fit there, as its items
     are what every passage is compared with. Null or blank texts and items are
@@ -435,9 +447,16 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
             # no subsequence is longer than the number of the pattern's words there
             enough = (known[term[place]] & inside).sum(axis=1) >= share * len(pattern)
             w = w[enough]
-            length, tail = common_subsequence(pattern, words[place[enough]], inside[enough])
+            text, inside = words[place[enough]], inside[enough]
+            length, tail = common_subsequence(pattern, text, inside)
             whole, answer = length / len(pattern), tail / max(1, len(pattern) // 5)
-            held = np.flatnonzero((whole >= (share if len(pattern) >= 5 else 1.0)) & (answer >= answer_share))
+            good = whole >= (share if len(pattern) >= 5 else 1.0)
+            sure = (answer >= answer_share) | (whole >= whole_share)
+            rest = np.flatnonzero(good & ~sure)
+            for k in range(0, len(rest), 64):
+                part = rest[k : k + 64]
+                sure[part] = longest_run(pattern, text[part], inside[part]) >= share * len(pattern)
+            held = np.flatnonzero(good & sure)
             score = dict(zip(held, agreement(windows, w[held], i, bench), strict=True))
             for k in held:
                 d = int(doc[w[k]])

@@ -409,6 +409,31 @@ def test_places_hold_every_window_that_the_check_accepts():
         assert len(want) > 10 and want <= got
 
 
+def test_leaks_without_the_ending(spark):
+    """Copies that end before the item does: word for word, and nearly so; reworded ones still need the ending."""
+    rnd = random.Random(8)
+    vocab = [f"word{i}" for i in range(300)]
+    prose = lambda n: [rnd.choice(vocab) for _ in range(n)]
+    item, long = prose(40), prose(100)
+    nearly = ["changed" if k in (5, 15) else w for k, w in enumerate(item[:34])]
+    reworded = ["changed" if k % 6 == 1 else w for k, w in enumerate(item[:32])]
+    copies = [item[:32], item[:24], nearly, reworded, item[:20], long[:80], long[:60]]
+    texts = [" ".join(prose(200)) for _ in range(60)] + [" ".join(prose(50 + k) + c + prose(60)) for k, c in enumerate(copies)]
+    table = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(long))], "item_id int, text string")
+    rows = decontaminate.find_leaks(frame(spark, texts), table).collect()
+    assert {(r._id - 60, r._item) for r in rows} == {(0, 1), (1, 1), (2, 1), (5, 2), (6, 2)}
+
+
+def test_longest_run():
+    rnd = np.random.default_rng(9)
+    pattern, text = rnd.integers(0, 3, 12).astype(np.uint64), rnd.integers(0, 3, (30, 25)).astype(np.uint64)
+    inside = np.ones(text.shape, bool)
+    inside[:, :4] = False
+    seen = lambda t, n: any((t[i : i + n] == pattern[j : j + n]).all() for i in range(4, 26 - n) for j in range(13 - n))
+    want = [max(n for n in range(13) if n == 0 or seen(t, n)) for t in text]
+    assert decontaminate.longest_run(pattern, text, inside).tolist() == want
+
+
 # --- learned scores ----------------------------------------------------------
 
 
