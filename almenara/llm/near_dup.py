@@ -34,8 +34,9 @@ SYMBOLS, BITS = 128, 16
 #: the first so many are indexed, in chunks that may hold so many errors
 INDEXED, CHUNKS, ERRORS = 48, 12, 1
 #: signatures at a greater distance are not compared on their sets. At a
-#: similarity of 0.8 the distance is 25.6 on average with a deviation of 4.5
-MAX_DISTANCE = 43
+#: similarity of 0.8 the distance is 25.6 on average with a deviation of 4.5;
+#: one pair in about 10**12 is further off
+MAX_DISTANCE = 60
 #: bits of the sketch that bounds the difference of two sets from below
 SKETCH_BITS = 2048
 #: nodes compared in one step under a key

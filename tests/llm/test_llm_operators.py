@@ -214,6 +214,18 @@ def test_index_finds_all_pairs_under_the_distance():
     assert (near_dup.shared_choices(a == b) == shared).all()
 
 
+def test_similar_pairs_with_distant_signatures(spark):
+    """Pairs at a similarity of exactly 0.8 whose signatures differ by chance in over a third of their symbols."""
+    texts = [" ".join(f"w{i}x{k}" for k in range(n)) for i in range(30_000) for n in (7, 8)]
+    rows = near_dup.signatures(list(near_dup.text_sets(pa.array(texts), 4)))
+    distance = (rows[::2] != rows[1::2]).sum(axis=1)
+    far = np.flatnonzero(distance > 43).tolist()
+    assert far
+    pairs = [texts[2 * i + k] for i in far for k in range(2)]
+    got = {r._id: r._component for r in near_dup.near_duplicates(frame(spark, pairs), shingle_words=4).collect()}
+    assert got == {i: i // 2 * 2 for i in range(len(pairs))}
+
+
 def test_sketches_allow_every_linked_pair():
     rnd = np.random.default_rng(3)
     for size in (1, 4, 30, 200, 3000, 20000):
