@@ -1,11 +1,13 @@
 """MinHash near-duplicates by a multi-index Hamming join.
 
 A document's set of word shingles becomes a signature of b-bit minhash
-symbols. Two signatures within the distance threshold agree, by pigeonhole, up
-to the allowed number of errors in at least one chunk of the indexed symbols.
-For each chunk all choices of erroneous symbols are left out in turn, and what
-remains is an exact join key; so every pair under the threshold meets under
-some key. Pairs are checked on whole signatures, then on full shingle sets.
+symbols. For each chunk of the indexed symbols all choices of erroneous symbols
+are left out in turn, and what remains is an exact join key. By pigeonhole two
+signatures that differ in at most CHUNKS * (ERRORS + 1) - 1 = 23 of the 48
+indexed symbols meet under some key. That is no guarantee for all pairs within
+MAX_DISTANCE of 128: for independent symbols a pair at a similarity of 0.8
+meets under no key with a probability of 1.2e-9. Pairs are checked on whole
+signatures, then on full shingle sets.
 
 Copies never become pairs: equal sets are one node. Under each key every node
 meets the smallest node only; the links that hold give components. Keys whose
