@@ -95,11 +95,11 @@ def document_blocks(offsets: np.ndarray, limit: int = PIECE) -> Iterator[tuple[i
         first = last
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First byte and end of each word; documents end words."""
+def words_of(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of each word; documents end words. ``gaps`` marks the bytes between words, blanks by default."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    inside = ~space_table()[data]
+    inside = ~(space_table() if gaps is None else gaps)[data]
     opens = inside.copy()
     opens[1:] &= ~inside[:-1]
     closes = inside.copy()
@@ -115,16 +115,16 @@ def span_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return (prefix[ends] - prefix[starts]) * down[starts]
 
 
-def _pieces(data: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+def pieces(data: np.ndarray, limit: int, gaps: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
     """Cuts of one long text between words."""
-    space = space_table()
+    space = space_table() if gaps is None else gaps
     at, n = 0, len(data)
     while at < n:
         end = min(at + limit, n)
         while end < n:
-            gaps = np.flatnonzero(space[data[end : end + limit]])
-            if len(gaps):
-                end += int(gaps[0])
+            found = np.flatnonzero(space[data[end : end + limit]])
+            if len(found):
+                end += int(found[0])
                 break
             end = min(end + limit, n)
         yield at, end
@@ -139,7 +139,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tu
         lo, hi = int(offsets[first]), int(offsets[last])
         local = offsets[first : last + 1] - lo
         whole = hi - lo <= 2 * PIECE
-        pieces = [(0, hi - lo)] if whole else list(_pieces(data[lo:hi], PIECE))
+        pieces = [(0, hi - lo)] if whole else list(pieces(data[lo:hi], PIECE))
         for a, b in pieces:
             part = data[lo + a : lo + b]
             if lower:

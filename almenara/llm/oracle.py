@@ -101,6 +101,22 @@ SELECT doc_id, size, source_size, target, CAST(sum(greatest(least(part, total -
 FROM m GROUP BY doc_id, source, size, source_size, target
 """
 
+_DIVERGE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM w GROUP BY ALL),
+k AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL HAVING sum(docs) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang),
+x AS (SELECT lang, source, term, coalesce(c.n, 0) AS n, k.n AS of_lang FROM (SELECT DISTINCT lang, source FROM d) JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+y AS (SELECT *, sum(n) OVER (PARTITION BY lang, source) AS total FROM x),
+p AS (SELECT y.lang, source, term, y.n, 1 + 1000000000 * (CAST(y.n AS HUGEINT) + 1) // (total + v) AS p, 1 + 1000000000 * (CAST(of_lang AS HUGEINT) + 1) // (v.n + v) AS q FROM y JOIN v USING (lang)),
+a AS (SELECT lang, x.source, y.source AS item FROM (SELECT DISTINCT lang, source FROM d) x JOIN (SELECT DISTINCT lang, source FROM d) y USING (lang) WHERE x.source <> y.source),
+b AS (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+o AS (SELECT lang, source, 'pair' AS part, item, CAST(coalesce(value, 0) AS BIGINT) AS value FROM a LEFT JOIN b USING (lang, source, item)
+  UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p WHERE n > 0 AND p > q)
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM o) WHERE part = 'pair' OR rank <= 200
+"""
+
 ORACLE: dict[str, str] = {
     "op1_warc": _WARC,
     "op5_near_dup": _NEAR,
@@ -108,4 +124,5 @@ ORACLE: dict[str, str] = {
     "op7_suffix_dedup": _SUFFIX,
     "op9_line_dedup": _LINES,
     "op10_mix_sources": _MIX,
+    "op11_source_divergence": _DIVERGE,
 }

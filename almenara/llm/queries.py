@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almenara.llm import decontaminate, line_dedup, mixing, near_dup, quality_classifier, quality_rules, secrets, suffix_dedup, toxicity, warc
+from almenara.llm import decontaminate, line_dedup, mixing, near_dup, quality_classifier, quality_rules, secrets, source_divergence, suffix_dedup, toxicity, warc
 from almenara.llm.samples import split_code
 from almenara.llm.tables import text_bytes
 from almenara.session import scratch_folder
@@ -125,6 +125,12 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("_id").alias("doc_id"), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of each source of each language from the others, and the terms that it holds more than the language."""
+    found = source_divergence.source_divergence(_table(spark, sf_dir, "documents"))
+    return found.select([F.col(f"_{n}").alias(n) for n in ("lang", "source", "part", "item", "value", "rank")])
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_quality_classifier": op2_quality_classifier,
@@ -136,4 +142,5 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_mix_sources": op10_mix_sources,
+    "op11_source_divergence": op11_source_divergence,
 }
