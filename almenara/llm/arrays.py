@@ -139,8 +139,8 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tu
         lo, hi = int(offsets[first]), int(offsets[last])
         local = offsets[first : last + 1] - lo
         whole = hi - lo <= 2 * PIECE
-        pieces = [(0, hi - lo)] if whole else list(pieces(data[lo:hi], PIECE))
-        for a, b in pieces:
+        spans = [(0, hi - lo)] if whole else list(pieces(data[lo:hi], PIECE))
+        for a, b in spans:
             part = data[lo + a : lo + b]
             if lower:
                 part = lower_table()[part]
@@ -193,3 +193,19 @@ def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     ends = np.append(starts[1:], len(data))
     held = kind[starts] > 0
     return starts[held], ends[held], kind[starts[held]]
+
+
+def join_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, chosen: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of documents made of ``chosen`` words with one blank between two; ``edges`` cuts ``chosen`` into documents."""
+    sizes = (ends - starts)[chosen] + 1
+    sizes[edges[1:][edges[1:] > edges[:-1]] - 1] -= 1
+    upto = np.concatenate([[0], np.cumsum(sizes)])
+    data = np.append(data, np.uint8(0x20))
+    out = np.empty(upto[-1], np.uint8)
+    for a in range(0, len(chosen), 1 << 16):
+        b = min(a + (1 << 16), len(chosen))
+        at = np.repeat(starts[chosen[a:b]] - upto[a:b], sizes[a:b]) + np.arange(upto[a], upto[b])
+        out[upto[a] : upto[b]] = data[at]
+    behind = np.flatnonzero(sizes > (ends - starts)[chosen])
+    out[upto[behind + 1] - 1] = 0x20
+    return out, upto[edges]

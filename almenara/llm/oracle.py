@@ -117,6 +117,30 @@ o AS (SELECT lang, source, 'pair' AS part, item, CAST(coalesce(value, 0) AS BIGI
 SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM o) WHERE part = 'pair' OR rank <= 200
 """
 
+#: crc32 of the decimal doc_id: each byte is mixed in, then eight steps of one bit
+_CRC = """xor(list_reduce(list_prepend(4294967295, flatten(list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1),
+  lambda i: list_prepend(CAST(ascii(substr(CAST(doc_id AS VARCHAR), CAST(i AS INT), 1)) AS BIGINT), [-1, -1, -1, -1, -1, -1, -1, -1])))),
+  lambda c, v: CASE WHEN v >= 0 THEN xor(c, v) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295)"""
+
+_PERIODS = rf"""
+WITH d AS (SELECT doc_id, w, CAST(len(w) AS BIGINT) AS n, CAST({_CRC} AS BIGINT) AS h FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)),
+e AS (SELECT doc_id, w, n, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n ELSE n END AS a, h // 10 AS g FROM d),
+f AS (SELECT doc_id, w, n, a, 1 + (n - a) // (3 + g % 8) AS p, unnest(range(n)) AS i FROM e),
+t AS (SELECT doc_id, n, i, w[CASE WHEN i >= a THEN a + (i - a) % p ELSE i END + 1] AS word FROM f),
+u AS (SELECT doc_id, n, i, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o || ' ' || lead(word, 3) OVER o || ' ' || lead(word, 4) OVER o AS five FROM t WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+m AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM u x JOIN u y ON x.doc_id = y.doc_id AND x.five = y.five AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+s AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM m),
+l AS (SELECT doc_id, q, min(i) AS start, count(*) + 4 + q AS length FROM s GROUP BY doc_id, q, island),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM l WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length),
+b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) AS k FROM r),
+c AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM r GROUP BY doc_id),
+x AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+k AS (SELECT t.doc_id, string_agg(word, ' ' ORDER BY t.i) AS kept FROM t ANTI JOIN x ON t.doc_id = x.doc_id AND t.i = x.i GROUP BY t.doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length, CAST(period AS BIGINT) AS period,
+  CAST(length * 1000 // period AS BIGINT) AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN k USING (doc_id) LEFT JOIN b ON b.doc_id = d.doc_id AND b.k = 1
+"""
+
 ORACLE: dict[str, str] = {
     "op1_warc": _WARC,
     "op5_near_dup": _NEAR,
@@ -125,4 +149,5 @@ ORACLE: dict[str, str] = {
     "op9_line_dedup": _LINES,
     "op10_mix_sources": _MIX,
     "op11_source_divergence": _DIVERGE,
+    "op12_periodic_runs": _PERIODS,
 }

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almenara.llm import decontaminate, line_dedup, mixing, near_dup, quality_classifier, quality_rules, secrets, source_divergence, suffix_dedup, toxicity, warc
+from almenara.llm import decontaminate, line_dedup, mixing, near_dup, periodic_runs, quality_classifier, quality_rules, secrets, source_divergence, suffix_dedup, toxicity, warc
+from almenara.llm.arrays import PIECE, column_bytes, document_blocks, join_words, words_of
 from almenara.llm.samples import split_code
 from almenara.llm.tables import text_bytes
 from almenara.session import scratch_folder
@@ -131,6 +134,55 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select([F.col(f"_{n}").alias(n) for n in ("lang", "source", "part", "item", "value", "rank")])
 
 
+def repeat_tails(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` with words joined by one blank; a tenth of the documents repeats words to its end.
+
+    With h the crc32 of the id and g = h // 10, where h % 10 = 0 each of the n
+    words i >= a = g % n becomes word a + (i - a) % p, p = 1 + (n - a) // (3 + g % 8).
+    """
+    code = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    rows = docs.select("doc_id", code.alias("_code"), text_bytes("text").alias("_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = column_bytes(batch["_text"])
+            codes = batch["_code"].to_numpy()
+            for first, last in document_blocks(offsets, PIECE):
+                part, cuts = data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
+                starts, ends = words_of(part, cuts)
+                edges = np.searchsorted(starts, cuts)
+                n, code = np.diff(edges), codes[first:last]
+                g = code // 10
+                a = np.where(code % 10 == 0, g % np.maximum(n, 1), n)
+                p = 1 + (n - a) // (3 + g % 8)
+                at = np.arange(len(starts))
+                a, p = np.repeat(edges[:-1] + a, n), np.repeat(p, n)
+                text, cuts = join_words(part, starts, ends, np.where(at >= a, a + (at - a) % p, at), edges)
+                texts = pa.Array.from_buffers(pa.binary(), last - first, [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(text)])
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(first, last - first), texts], names=["doc_id", "text"])
+
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text binary")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeating words of every document, and its text without the repeats."""
+    found = periodic_runs.periodic_runs(repeat_tails(_table(spark, sf_dir, "documents")))
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    # runs come by start and period, so the first of equal ones stays
+    best = F.reduce("_runs", none, lambda x, y: F.when(x.isNull() | (y.length * x.period > x.length * y.period), y).otherwise(x))
+    listed = F.array_join(F.transform("_runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))), "")
+    return found.withColumn("_best", best).select(
+        F.col("_id").alias("doc_id"),
+        F.size("_runs").cast("bigint").alias("n_runs"),
+        F.col("_best.start").alias("start"),
+        F.col("_best.length").alias("length"),
+        F.col("_best.period").alias("period"),
+        F.call_function("div", F.col("_best.length") * 1000, F.col("_best.period")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("_collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_quality_classifier": op2_quality_classifier,
@@ -143,4 +195,5 @@ QUERIES: dict[str, Query] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_mix_sources": op10_mix_sources,
     "op11_source_divergence": op11_source_divergence,
+    "op12_periodic_runs": op12_periodic_runs,
 }
