@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almenara.llm import decontaminate, line_dedup, mixing, near_dup, periodic_runs, quality_classifier, quality_rules, secrets, source_divergence, suffix_dedup, toxicity, warc
+from almenara.llm import decontaminate, hidden_markov, line_dedup, mixing, near_dup, periodic_runs, quality_classifier, quality_rules, secrets, source_divergence, suffix_dedup, toxicity, warc
 from almenara.llm.arrays import PIECE, column_bytes, document_blocks, join_words, words_of
 from almenara.llm.samples import split_code
 from almenara.llm.tables import text_bytes
@@ -183,6 +183,13 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model score of every document, learned from six sevenths of them."""
+    scored = hidden_markov.language_scores(_table(spark, sf_dir, "documents"), split_code("doc_id", 7) != 2)
+    names = {"_id": "doc_id", "_n_tokens": "n_tokens", "_n_known": "n_known", "_train_tokens": "train_tokens", "_base": "base_score", "_score": "score"}
+    return scored.select((~F.col("_learn")).alias("held_out"), *(F.col(a).alias(b) for a, b in names.items()))
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_quality_classifier": op2_quality_classifier,
@@ -196,4 +203,5 @@ QUERIES: dict[str, Query] = {
     "op10_mix_sources": op10_mix_sources,
     "op11_source_divergence": op11_source_divergence,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_lm_score": op13_lm_score,
 }
