@@ -60,7 +60,7 @@ def encode(docs: DataFrame, learn: Column, id_col: str, text_col: str) -> DataFr
                 counts = np.bincount(at[np.repeat(learning[first:last], size)], minlength=len(terms))
                 here = batch.slice(first, last - first)
                 held = pa.StructArray.from_arrays([here["_id"], here["_key"], here["_learn"], pa.array(size, pa.int64())], names=["_id", "_key", "_learn", "_n"])
-                columns = [pa.array([block], pa.int64()), _one(held), pa.array([at.astype(np.int32).tobytes()], pa.binary()), _one(pa.array(terms.view(np.int64))), _one(pa.array(counts, pa.int64()))]
+                columns = [pa.array([block], pa.int64()), _one(held), pa.array([at.astype(_number(terms)).tobytes()], pa.binary()), _one(pa.array(terms.view(np.int64))), _one(pa.array(counts, pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, names=["_block", "_docs", "_words", "_terms", "_counts"])
                 block += 1
 
@@ -68,6 +68,11 @@ def encode(docs: DataFrame, learn: Column, id_col: str, text_col: str) -> DataFr
     return rows.mapInArrow(run, f"_block bigint, _docs array<struct<_id:{id_type},_key:bigint,_learn:boolean,_n:bigint>>, _words binary, _terms array<bigint>, _counts array<bigint>")
 
 
+def _number(terms: np.ndarray) -> type:
+    """Type of the numbers of words in a block: two bytes where they do."""
+    return np.uint16 if len(terms) <= 1 << 16 else np.int32
+
+
 def _one(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
@@ -76,7 +81,8 @@ def _open(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray,
     """Row, terms, term number of each word, and documents of every block."""
     words, cuts = column_bytes(batch["_words"])
     for i in range(batch.num_rows):
-        yield i, batch["_terms"][i].values.to_numpy(), np.frombuffer(words[cuts[i] : cuts[i + 1]].tobytes(), np.int32), batch["_docs"][i].values
+        terms = batch["_terms"][i].values.to_numpy()
+        yield i, terms, np.frombuffer(words[cuts[i] : cuts[i + 1]].tobytes(), _number(terms)), batch["_docs"][i].values
 
 
 def class_of(terms: np.ndarray) -> np.ndarray:
@@ -158,8 +164,8 @@ class Expected:
                 self.emission[:, k] += np.bincount(c, weights=share[:, k], minlength=len(self.emission))
 
 
-def expected_counts(coded: DataFrame, model: Model) -> Expected:
-    """Expected counts over all learning documents: tasks add up theirs, then sums of sums; a table of fixed size."""
+def expected_counts(coded: DataFrame, model: Model, tasks: int) -> Expected:
+    """Expected counts over all learning documents: ``tasks`` tasks add up theirs, then sums of sums; a table of fixed size."""
     states = len(model[1])
     shared = coded.sparkSession.sparkContext.broadcast(model)  # 2**15 x states numbers
     kind, salts = "part int, sums binary", 16
@@ -179,20 +185,20 @@ def expected_counts(coded: DataFrame, model: Model) -> Expected:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, values in zip(batch["part"].to_pylist(), batch["sums"], strict=True):
-                x = np.frombuffer(values.as_buffer(), np.float64)
-                held[part] = held[part] + x if part in held else x.copy()
+                x = np.frombuffer(values.as_buffer(), np.float32)
+                held[part] = held[part] + x if part in held else x.astype(np.float64)
         yield rows_of(held)
 
     def rows_of(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array([x.tobytes() for x in parts.values()], pa.binary())], names=["part", "sums"])
+        return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array([x.astype(np.float32).tobytes() for x in parts.values()], pa.binary())], names=["part", "sums"])
 
-    partial = coded.select("_docs", "_words", "_terms").mapInArrow(gather, kind).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    partial = coded.select("_docs", "_words", "_terms").coalesce(tasks).mapInArrow(gather, kind).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     some = partial.repartition("part", "salt").select("part", "sums").mapInArrow(combine, kind)
     rows = some.repartition("part").mapInArrow(combine, kind).toArrow()
     shared.destroy()
     out = Expected(states)
     for part, values in zip(rows["part"].to_pylist(), rows["sums"].to_pylist(), strict=True):
-        x = np.frombuffer(values, np.float64)
+        x = np.frombuffer(values, np.float32).astype(np.float64)
         if part >= 0:
             out.emission[part * _PART : (part + 1) * _PART] = x.reshape(_PART, states)
         else:
@@ -267,8 +273,10 @@ def language_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
     n_all, n_kinds = int(total.sum()), int(kinds.sum())
     plain = (total + 1) / (total + 1).sum()
     model = start_model(plain, states)
+    # a task's sums have a fixed size, so small inputs get few tasks and large ones one for each 64 blocks
+    tasks = max(2 * docs.sparkSession.sparkContext.defaultParallelism, coded.count() // 64)
     for _ in range(rounds if ends else 0):
-        model = improved(expected_counts(coded, model), plain)
+        model = improved(expected_counts(coded, model, tasks), plain)
     return _score(coded, counts, model, total, kinds, n_all, n_kinds)
 
 
