@@ -9,26 +9,34 @@ sketching need no second pass. A Nystroem step turns the sketch into singular
 values and right singular vectors, the randomised SVD.
 
 A second pass projects short windows of every text and of the benchmark items
-and compares them by cosine. An item is a candidate where its windows, taken in
-order, agree with the text's on average, and wherever the text has so many of
-its rare words that the check below is not ruled out; so no pair that the check
-accepts is lost, whatever its cosine. Candidates are checked where they are
-found: the longest common subsequence of words, then, for reworded items, the
-last words, where the answer is.
+and compares them by cosine. Where an item's windows, taken in order, agree
+with the text's on average, the text may be a paraphrase: the longest common
+subsequence of words may then be short, if it holds the item's last words, where
+the answer is. Copies that keep more of the item's words in order count at any
+cosine; they are looked for wherever the text has so many of the item's rare
+words that so long a subsequence is not ruled out, which loses none of them.
+
+The benchmark is worked through in blocks of items, each held by every task
+while one pass over the documents lasts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from almenara.llm.arrays import PIECE, column_bytes, document_blocks, mix, seeds, word_hashes
-from almenara.llm.tables import row_key
+from almenara.llm.tables import free_name, row_key
+from almenara.session import scratch_folder
 
 TERM_BITS, RANK, EXTRA = 15, 48, 16
 #: leading directions that are not compared: they tell languages apart
@@ -38,6 +46,8 @@ PASSAGE = 32
 #: words of a step and of a compared window; windows begin at every step
 STEP, WINDOW = 8, 16
 _PART = 1024  # terms in one row of partial sums
+#: items that tasks hold at a time
+BLOCK = 4096
 
 
 def test_matrix() -> np.ndarray:
@@ -149,13 +159,15 @@ def solve(n: int, frequency: np.ndarray, sketch: np.ndarray, test: np.ndarray) -
     """Nystroem approximation of the weighted Gram matrix from its sketch."""
     idf = np.where(frequency > 0, np.log((n + 1) / np.maximum(frequency, 1)), 0.0)
     seen = idf > 0
-    y, w = idf[:, None] * sketch, np.where(seen, 1 / np.where(seen, idf, 1), 0)[:, None] * test
+    y, w = idf[:, None] * sketch, np.where(seen, 1 / np.where(seen, idf, 1), 0)[:, None].astype(np.float32) * test
     shift = 1e-6 * np.sqrt((y**2).sum()) + 1e-12
-    y = y + shift * w
+    y += shift * w
     small = w.T @ y
+    del w
     values, basis = np.linalg.eigh((small + small.T) / 2)
     keep = values > values.max(initial=0) * 1e-10
     half = y @ (basis[:, keep] / np.sqrt(values[keep]))
+    del y
     left, singular, _ = np.linalg.svd(half, full_matrices=False)
     return Space(idf, left[:, :RANK], np.sqrt(np.maximum(singular[:RANK] ** 2 - shift, 0)))
 
@@ -387,35 +399,67 @@ def longest_run(pattern: np.ndarray, text: np.ndarray, inside: np.ndarray) -> np
     return best
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", cosine: float = 0.5, share: float = 0.6, answer_share: float = 0.4, whole_share: float = 0.8) -> DataFrame:
+def find_leaks(
+    docs: DataFrame,
+    items: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    cosine: float = 0.7,
+    share: float = 0.6,
+    answer_share: float = 0.4,
+    whole_share: float = 0.8,
+    loose_share: float = 0.4,
+    loose_answer: float = 0.6,
+    block: int = BLOCK,
+) -> DataFrame:
     """Documents that hold a benchmark item, whole or reworded, one row per document and item.
 
     ``_id``, ``_key``, ``_item``, ``_cosine`` (average over the item's windows at
     the best place), ``_share`` (of the item's words in the longest common
     subsequence with the text there), ``_answer`` (share of its last fifth),
-    ``_word`` (that place, in words). A pair counts if ``_share`` reaches
-    ``share`` and any of these holds: ``_share`` reaches ``whole_share``; a run
-    of words that the text has word for word reaches ``share`` of the item;
-    ``_answer`` reaches ``answer_share``, as an item reworded further must.
-
-    Only the benchmark is held by every task; it must fit there, as its items
-    are what every passage is compared with. Null or blank texts and items are
-    in no pair. Rows that repeat give the same pairs each. Items of under five
-    words count only with all their words.
+    ``_word`` (that place, in words). A pair counts in either of two ways:
+
+    - ``_share`` reaches ``share`` and any of these holds: ``_share`` reaches
+      ``whole_share``; a run of words that the text has word for word reaches
+      ``share`` of the item; ``_answer`` reaches ``answer_share``.
+    - A paraphrase: the windows' average cosine reaches ``cosine``, ``_share``
+      ``loose_share`` and ``_answer`` ``loose_answer``.
+
+    Tasks hold ``block`` items at a time; each block is one pass over ``docs``,
+    whose pairs are stored. Null or blank texts and items are in no pair. Rows
+    that repeat give the same pairs each. Items of under five words count only
+    with all their words.
     """
     space = latent_space(docs, text_col)
-    term_vectors = space.project()
-    rows = items.select(F.col(f"`{item_col}`"), lower_text(item_text_col).alias("_text")).toArrow()
+    table = items.select(F.col(f"`{item_col}`"), lower_text(item_text_col).alias("_text"))
+    source = docs.select(F.col(f"`{id_col}`").alias("_id"), row_key(id_col, text_col).alias("_key"), lower_text(text_col).cast("binary").alias("_text"))
+    limits = cosine, share, answer_share, whole_share, loose_share, loose_answer
     chance = np.where(space.idf > 0, np.exp(-space.idf) / PASSAGE, 0)
-    found = benchmark_items(rows[item_col].to_pylist(), rows["_text"].to_pylist(), term_vectors, chance, share)
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((term_vectors, found))
+    vectors = space.project()
+    if table.isEmpty():
+        return _leaks_of(source, benchmark_items([], [], vectors, chance, share), vectors, items.schema[item_col].dataType, limits)[0]
+    path = scratch_folder(docs.sparkSession, "leaks")
+    rows = table.toLocalIterator()
+    while held := list(islice(rows, block)):
+        bench = benchmark_items([r[0] for r in held], [r[1] for r in held], vectors, chance, share)
+        pairs, shared = _leaks_of(source, bench, vectors, items.schema[item_col].dataType, limits)
+        pairs.write.mode("append").parquet(path)
+        shared.destroy()
+    return docs.sparkSession.read.schema(pairs.schema).parquet(path)
+
+
+def _leaks_of(source: DataFrame, found: Items, vectors: np.ndarray, item_kind: DataType, limits: tuple[float, ...]) -> tuple[DataFrame, Broadcast]:
+    """Pairs of documents and one block of items, and what the tasks hold of it: arrays only, so that no task needs this package."""
+    cosine, share, answer_share, whole_share, loose_share, loose_answer = limits
+    shared = source.sparkSession.sparkContext.broadcast((vectors, astuple(found)))
     overlap = max([WINDOW, *(len(w) for w in found.words)]) + 2 * STEP
-    source = docs.select(F.col(f"`{id_col}`").alias("_id"), row_key(id_col, text_col).alias("_key"), lower_text(text_col).cast("binary").alias("_text"))
-    id_type, item_type = source.schema["_id"].dataType.simpleString(), dict(items.dtypes)[item_col]
+    id_type = source.schema["_id"].dataType.simpleString()
+    ids = pa.array(found.ids, to_arrow_type(item_kind))
 
-    def search(words: np.ndarray, edges: np.ndarray) -> Iterator[tuple]:
-        table, bench = shared.value
+    def search(words: np.ndarray, edges: np.ndarray, bench: Items) -> Iterator[tuple]:
+        table = shared.value[0]
         if not len(words) or not bench.ids:
             return
         begin, doc = _steps(words, edges)
@@ -429,24 +473,25 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         windows = unit(windows)
         window, item, _ = candidates(windows, bench, cosine)
         more, of = places(words, term, edges, bench)
-        both = np.unique(np.concatenate([item, of]) * len(doc) + np.concatenate([window, more]))
-        item, window = both // len(doc), both % len(doc)
+        alike = np.unique(item * len(doc) + window)
+        both = np.union1d(alike, of * len(doc) + more)
+        item, window, near = both // len(doc), both % len(doc), np.isin(both, alike, assume_unique=True)
         for i in np.unique(item):
             a, b = np.searchsorted(item, [i, i + 1])
-            yield from check(words, term, edges, begin, doc, windows, window[a:b], int(i), bench)
+            yield from check(words, term, edges, begin, doc, windows, window[a:b], near[a:b], int(i), bench)
 
-    def check(words, term, edges, begin, doc, windows, window, i, bench) -> Iterator[tuple]:
+    def check(words, term, edges, begin, doc, windows, window, near, i, bench) -> Iterator[tuple]:
         pattern = bench.words[i]
         known = np.zeros(1 << TERM_BITS, bool)
         known[terms(pattern)] = True
         for at in range(0, len(window), 8192):
-            w = window[at : at + 8192]
+            w, alike = window[at : at + 8192], near[at : at + 8192]
             place = begin[w][:, None] + np.arange(-STEP, len(pattern) + STEP)
             inside = (place >= edges[doc[w]][:, None]) & (place < edges[doc[w] + 1][:, None])
             place = np.clip(place, 0, len(words) - 1)
             # no subsequence is longer than the number of the pattern's words there
-            enough = (known[term[place]] & inside).sum(axis=1) >= share * len(pattern)
-            w = w[enough]
+            enough = (known[term[place]] & inside).sum(axis=1) >= np.where(alike, loose_share, share) * len(pattern)
+            w, alike = w[enough], alike[enough]
             text, inside = words[place[enough]], inside[enough]
             length, tail = common_subsequence(pattern, text, inside)
             whole, answer = length / len(pattern), tail / max(1, len(pattern) // 5)
@@ -456,30 +501,33 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
             for k in range(0, len(rest), 64):
                 part = rest[k : k + 64]
                 sure[part] = longest_run(pattern, text[part], inside[part]) >= share * len(pattern)
-            held = np.flatnonzero(good & sure)
+            reworded = alike & (whole >= loose_share) & (answer >= loose_answer) & (len(pattern) >= 5)
+            held = np.flatnonzero((good & sure) | reworded)
             score = dict(zip(held, agreement(windows, w[held], i, bench), strict=True))
             for k in held:
                 d = int(doc[w[k]])
                 yield d, i, float(score[k]), float(whole[k]), float(answer[k]), int(begin[w[k]] - edges[d])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bench = Items(*shared.value[1])
         for batch in batches:
             pairs: dict[tuple[int, int], tuple] = {}
             for first, words, edges, before in _segments(batch["_text"], overlap):
-                for d, i, c, s, a, w in search(words, edges):
+                for d, i, c, s, a, w in search(words, edges, bench):
                     key, got = (first + d, i), (s, a, c, w + before)
                     pairs[key] = max(pairs.get(key, got), got)
             at = pa.array([k[0] for k in pairs], pa.int64())
-            ids = shared.value[1].ids
+            item = ids.take(pa.array([k[1] for k in pairs], pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch["_id"].take(at), batch["_key"].take(at), pa.array([ids[k[1]] for k in pairs], rows[item_col].type), *(pa.array([v[j] for v in pairs.values()], t) for j, t in ((2, pa.float64()), (0, pa.float64()), (1, pa.float64()), (3, pa.int64())))],
+                [batch["_id"].take(at), batch["_key"].take(at), item, *(pa.array([v[j] for v in pairs.values()], t) for j, t in ((2, pa.float64()), (0, pa.float64()), (1, pa.float64()), (3, pa.int64())))],
                 names=["_id", "_key", "_item", "_cosine", "_share", "_answer", "_word"],
             )
 
-    return source.mapInArrow(run, f"_id {id_type}, _key bigint, _item {item_type}, _cosine double, _share double, _answer double, _word bigint")
+    return source.mapInArrow(run, f"_id {id_type}, _key bigint, _item {item_kind.simpleString()}, _cosine double, _share double, _answer double, _word bigint"), shared
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
-    leaks = find_leaks(docs, items, id_col, text_col, **options).select(F.col("_key").alias("_leak")).distinct()
-    return docs.join(leaks, row_key(id_col, text_col) == F.col("_leak"), "left_anti")
+    key = free_name(docs, "_leak")
+    leaks = find_leaks(docs, items, id_col, text_col, **options).select(F.col("_key").alias(key)).distinct()
+    return docs.join(leaks, row_key(id_col, text_col) == F.col(key), "left_anti")
