@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from almenara.llm.tables import row_key, same_row, stored, text_bytes
+from almenara.llm.tables import free_name, row_key, stored, text_bytes
 
 _BLANK = b" \t\n\r\x0b\x0c"
 
@@ -59,19 +59,21 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A null text is one empty line; it stays null where nothing was dropped.
     Null ids come last and lose their lines to any other id; if only null ids
     hold a line, it stays. Rows with the same id count as holding the line
-    together and all keep it. Other columns pass through, whatever their names
-    (but for names beginning with an underscore that this module uses).
+    together and all keep it. Other columns pass through, whatever their names;
+    those of the three names above are replaced.
     """
-    drops = shared_lines(docs, id_col, text_col, min_chars, min_docs)
-    rows = docs.withColumns({"_id": F.col(f"`{id_col}`"), "_key": row_key(id_col, text_col)})
-    joined = same_row(rows, drops, "left").drop("_id", "_key")
-    names = docs.columns
+    docs = docs.drop("_n_lines", "_n_dropped", "_kept_sha256")
+    names, mine, theirs, own, drop_col = docs.columns, *(free_name(docs, n) for n in ("_key", "_key_r", "_id_r", "_drop"))
+    drops = shared_lines(docs, id_col, text_col, min_chars, min_docs).withColumnsRenamed({"_key": theirs, "_id": own, "_drop": drop_col})
+    rows = docs.withColumn(mine, row_key(id_col, text_col))
+    same = F.col(mine).eqNullSafe(F.col(theirs)) & F.col(f"`{id_col}`").eqNullSafe(F.col(own))
+    joined = rows.join(drops, same, "left").drop(mine, theirs, own)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts, dropped, digests = [], [], [], []
-            for text, drop in zip(batch[text_col], batch["_drop"], strict=True):
+            for text, drop in zip(batch[text_col], batch[drop_col], strict=True):
                 value = text.as_py()
                 lines = (value or "").encode().split(b"\n")
                 bad = set(drop.as_py() or ())

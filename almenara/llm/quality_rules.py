@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almenara.llm.arrays import column_bytes, document_blocks, mix, ngram_hashes, prefix_hashes, seeds, space_table, span_hashes, words_of
-from almenara.llm.tables import text_bytes
+from almenara.llm.tables import free_name, text_bytes
 
 #: largest share of a text's word characters inside windows of n words that
 #: repeat an earlier one, and inside lines that do
@@ -113,15 +113,16 @@ def quality_measures(docs: DataFrame, text_col: str = "text", lengths: tuple[int
     included), ``dup_line_chars`` (word characters of such lines), and
     ``dup_<n>`` (word characters in windows of n words that repeat an earlier
     one). A null or empty text has zeros. Rows are judged one by one, so rows
-    that repeat and clashing column names make no difference.
+    that repeat make no difference. A column ``_quality`` of ``docs`` is replaced.
     """
     names = [*COUNTS, *(f"dup_{n}" for n in lengths)]
     kind = ", ".join(f"{n}: bigint" for n in names)
-    columns = docs.columns
+    docs = docs.drop("_quality")
+    columns, raw = docs.columns, free_name(docs, "_bytes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = column_bytes(batch["_bytes"])
+            data, offsets = column_bytes(batch[raw])
             parts: dict[str, list[np.ndarray]] = {n: [np.zeros(0, np.int64)] for n in names}
             for first, last in document_blocks(offsets):
                 lo, hi = offsets[first], offsets[last]
@@ -132,7 +133,7 @@ def quality_measures(docs: DataFrame, text_col: str = "text", lengths: tuple[int
             yield pa.RecordBatch.from_arrays([*(batch[n] for n in columns), counts], names=[*columns, "_quality"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.withColumn("_bytes", text_bytes(text_col)).mapInArrow(run, f"{fields}, _quality struct<{kind}>")
+    return docs.withColumn(raw, text_bytes(text_col)).mapInArrow(run, f"{fields}, _quality struct<{kind}>")
 
 
 def quality_rules(docs: DataFrame, text_col: str = "text", min_words: int = 10, max_repeat_pct: int = 20, ngram_limits: dict[int, float] | None = None, line_limit: float = LINE_LIMIT, symbol_limit: float = SYMBOL_LIMIT) -> DataFrame:
@@ -141,7 +142,8 @@ def quality_rules(docs: DataFrame, text_col: str = "text", min_words: int = 10,
     The base rules fail texts of under ``min_words`` words or with more than
     ``max_repeat_pct`` percent of words in repeated 5-word windows. A text that
     passes them is kept unless repeated windows of some length, repeated lines
-    or symbols hold more than their share of its word characters.
+    or symbols hold more than their share of its word characters. Columns of
+    ``docs`` of these three names are replaced.
     """
     limits = NGRAM_LIMITS if ngram_limits is None else ngram_limits
     q = lambda name: F.col(f"_quality.{name}")
@@ -149,5 +151,5 @@ def quality_rules(docs: DataFrame, text_col: str = "text", min_words: int = 10,
     bad = (q("dup_line_chars") > line_limit * q("word_chars")) | (q("n_symbols") > symbol_limit * q("word_chars"))
     for n, limit in limits.items():
         bad = bad | (q(f"dup_{n}") > limit * q("word_chars"))
-    measured = quality_measures(docs, text_col, tuple(limits))
+    measured = quality_measures(docs.drop("_base_failed", "_kept"), text_col, tuple(limits))
     return measured.withColumn("_base_failed", failed).withColumn("_kept", ~F.col("_base_failed") & ~bad)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import gc
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almenara.session import scratch_folder
@@ -30,3 +32,21 @@ def same_row(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame
     right = right.withColumnsRenamed({"_id": "_id_r", "_key": "_key_r"})
     on = left["_key"].eqNullSafe(right["_key_r"]) & left["_id"].eqNullSafe(right["_id_r"])
     return left.join(right, on, how).drop("_id_r", "_key_r")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``df`` is called so in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def release(spark: SparkSession) -> None:
+    """Lets go of what finished steps left in the driver.
+
+    Python's references to plans go first; with them collected in the JVM,
+    Spark's cleaner drops the shuffle files and broadcasts of these plans.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -14,12 +14,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from almenara.llm.arrays import PIECE, column_bytes, document_blocks, lower_table, mix, prefix_hashes, seeds, span_hashes, tokens_of
+from almenara.llm.arrays import PIECE, column_bytes, document_blocks, lower_table, mix, pieces, prefix_hashes, seeds, span_hashes, tokens_of
 from almenara.llm.samples import labelled_ids
-from almenara.llm.tables import text_bytes
+from almenara.llm.tables import free_name, text_bytes
 
 WEIGHT_BITS = 18
 _BEGINNINGS = (4, 5)
@@ -66,6 +66,19 @@ def sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return feature, edges, doc, begin, end
 
 
+def sentence_pieces(data: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Cuts of one long text behind the first end of a sentence after each ``limit`` bytes."""
+    stop = np.zeros(256, bool)
+    stop[list(b".!?\n")] = True
+    at = 0
+    for _, end in pieces(data, limit, stop):
+        if end >= at:
+            yield at, min(end + 1, len(data))
+            at = min(end + 1, len(data))
+    if at < len(data):
+        yield at, len(data)
+
+
 def _sums(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
     total = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])
     return total[edges[1:]] - total[edges[:-1]]
@@ -121,11 +134,13 @@ def score(model: Model, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarr
     return noisy_or(p, np.searchsorted(doc, np.arange(n + 1), side="left")), doc, begin, end, p
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 3000, max_bytes: int = 200_000) -> Model:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 3000, max_bytes: int = 200_000, total_bytes: int = 1 << 26) -> Model:
     """Model from at most ``per_class`` labelled documents of each label with texts of at most ``max_bytes``.
 
-    ``labels`` holds the rows to learn from. Without rows of both labels every
-    score is the share of label 1.
+    Together they have at most ``total_bytes`` of each label, the first by a
+    hash of the id; of rows with the same id one counts. ``labels`` holds the
+    rows to learn from. Without rows of both labels every score is the share of
+    label 1.
     """
     chosen = F.broadcast(labelled_ids(labels, id_col, label_col, per_class))  # at most 2 * per_class numbers
     rows = docs.select(F.col(f"`{id_col}`").alias("_label_id"), text_bytes(text_col).alias("_text")).where(F.octet_length("_text") <= max_bytes)
@@ -140,7 +155,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                     a, b = np.searchsorted(doc, [i, i + 1])
                     yield pa.RecordBatch.from_arrays([batch["_label"].slice(first + i, 1), pa.array([feature[edges[a] : edges[b]].tobytes()]), pa.array([np.diff(edges[a : b + 1]).astype(np.int32).tobytes()])], names=["label", "feature", "counts"])
 
-    got = rows.join(chosen, "_label_id").select("_label", "_text").mapInArrow(run, f"label {dict(labels.dtypes)[label_col]}, feature binary, counts binary").toArrow()
+    one_each = rows.join(chosen, "_label_id").groupBy("_label_id", "_label").agg(F.min(F.struct(F.xxhash64("_text").alias("h"), F.col("_text").alias("t"))).alias("_one"))
+    sizes = one_each.select("_label_id", "_label", F.octet_length("_one.t").alias("_size"))  # at most 2 * per_class rows
+    so_far = Window.partitionBy("_label").orderBy(F.xxhash64("_label_id"), "_label_id").rowsBetween(Window.unboundedPreceding, 0)
+    held = F.broadcast(sizes.withColumn("_upto", F.sum("_size").over(so_far)).where(F.col("_upto") <= total_bytes).select("_label_id"))
+    learned = one_each.join(held, "_label_id").select("_label", F.col("_one.t").alias("_text"))
+    got = learned.mapInArrow(run, f"label {dict(labels.dtypes)[label_col]}, feature binary, counts binary").toArrow()
     features = [np.frombuffer(x, np.int32) for x in got["feature"].to_pylist()]
     counts = [np.frombuffer(x, np.int32) for x in got["counts"].to_pylist()]
     label = np.array(got["label"].to_pylist(), np.int64)
@@ -155,27 +175,30 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", thresh
 
     ``_offending``: first byte, end and probability of the sentences that reach
     ``threshold``; of the likeliest one where only the document reaches it. A
-    null or empty text is one empty sentence. Texts over a megabyte are scored
-    in pieces cut at any byte, which noisy-or combines.
+    null or empty text is one empty sentence. Long texts are scored in pieces
+    of whole sentences, which noisy-or combines. Columns of ``docs`` of these
+    two names are replaced.
     """
-    names = docs.columns
+    docs = docs.drop("_score", "_offending")
+    names, raw = docs.columns, free_name(docs, "_bytes")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    weights = docs.sparkSession.sparkContext.broadcast(model)
+    # arrays and numbers only, so that no task needs this package
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias, model.constant))
 
-    def one(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[list[tuple]]]:
+    def one(model: Model, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[list[tuple]]]:
         n = len(offsets) - 1
         if n > 1 or offsets[-1] <= 2 * PIECE:
-            parts = [(0, score(weights.value, data, offsets))]
+            parts = [(0, score(model, data, offsets))]
         else:
-            parts = [(a, score(weights.value, data[a : a + PIECE], np.array([0, len(data[a : a + PIECE])]))) for a in range(0, len(data), PIECE)]
+            parts = [(a, score(model, data[a:b], np.array([0, b - a]))) for a, b in sentence_pieces(data, PIECE)]
         clean = np.prod([1 - p[0] for _, p in parts], axis=0) if len(parts) > 1 else 1 - parts[0][1][0]
-        total = 1 - clean if weights.value.constant is None else parts[0][1][0]
+        total = 1 - clean if model.constant is None else parts[0][1][0]
         found: list[list[tuple]] = [[] for _ in range(n)]
         for at, (_, doc, begin, end, p) in parts:
             for s in np.flatnonzero(p >= threshold):
                 found[doc[s]].append((int(begin[s] + at - offsets[doc[s]]), int(end[s] + at - offsets[doc[s]]), float(p[s])))
         for i in np.flatnonzero(total >= threshold):
-            if not found[i] and weights.value.constant is None:
+            if not found[i] and model.constant is None:
                 best = max(((float(p[s]), int(begin[s] + at - offsets[i]), int(end[s] + at - offsets[i])) for at, (_, doc, begin, end, p) in parts for s in np.flatnonzero(doc == i)))
                 found[i].append((best[1], best[2], best[0]))
         return total, found
@@ -183,14 +206,15 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", thresh
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*shared.value)
         for batch in batches:
-            data, offsets = column_bytes(batch["_bytes"])
+            data, offsets = column_bytes(batch[raw])
             scores, spans = [np.zeros(0)], []
             for first, last in document_blocks(offsets):
                 lo, hi = offsets[first], offsets[last]
-                total, found = one(data[lo:hi], offsets[first : last + 1] - lo)
+                total, found = one(model, data[lo:hi], offsets[first : last + 1] - lo)
                 scores.append(total)
                 spans += [[{"start": a, "end": b, "probability": p} for a, b, p in x] for x in found]
             yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), pa.array(np.concatenate(scores)), pa.array(spans, kind)], names=[*names, "_score", "_offending"])
 
-    return docs.withColumn("_bytes", text_bytes(text_col)).mapInArrow(run, f"{fields}, _score double, _offending array<struct<start: bigint, end: bigint, probability: double>>")
+    return docs.withColumn(raw, text_bytes(text_col)).mapInArrow(run, f"{fields}, _score double, _offending array<struct<start: bigint, end: bigint, probability: double>>")

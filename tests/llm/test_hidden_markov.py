@@ -101,6 +101,12 @@ def test_rounds_never_lower_the_likelihood(monkeypatch):
     assert all(b >= a - 1e-9 for a, b in itertools.pairwise(seen)) and seen[-1] > seen[0] + 1
 
 
+def test_packed_numbers_come_back():
+    numbers = np.array([0, 1, 255, 256, 70_000, 2**31])
+    assert hidden_markov.unpacked(np.frombuffer(hidden_markov.packed(numbers), np.uint8)).tolist() == numbers.tolist()
+    assert len(hidden_markov.unpacked(np.frombuffer(hidden_markov.packed(numbers[:0]), np.uint8))) == 0
+
+
 def test_walk_of_nothing():
     assert walk(random_model(1), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 3)))[0].tolist() == []
 
