@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from almenara.llm.tables import stored
+from almenara.llm.tables import release, stored
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -32,6 +32,7 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         parents = after.select(F.col("b").alias("a")).distinct()
         loose = after.groupBy("a").count().where("count > 1").select("a").union(after.select("a").join(parents, "a", "left_semi"))
         now = after
+        release(links.sparkSession)
         if loose.isEmpty():
             break
     else:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from almenara.llm.arrays import column_bytes, document_blocks, mix, ngram_hashes, seeds, word_hashes
 from almenara.llm.graph import components
-from almenara.llm.tables import row_key, stored, text_bytes
+from almenara.llm.tables import free_name, row_key, stored, text_bytes
 
 #: symbols of a signature, and the share of 2**32 that a symbol keeps
 SYMBOLS, BITS = 128, 16
@@ -336,6 +336,7 @@ def _resolve(signed: DataFrame, roots: DataFrame, merged: DataFrame) -> DataFram
     named = signed.select("_id", "_key", "_n", "_node").join(first, "_node", "left").withColumn("_r1", F.coalesce("_r1", "_node"))
     named = named.join(second, "_r1", "left").withColumn("_root", F.coalesce("_r2", "_r1"))
     smallest = named.where(F.col("_root").isNotNull()).groupBy("_root").agg(F.min("_id").alias("_least"))
+    smallest = stored(smallest, "smallest-ids")  # so that the join's hot keys can be split
     out = named.join(smallest, "_root", "left")
     component = F.when(F.col("_n") == 0, F.col("_id")).otherwise(F.col("_least"))
     return out.select("_id", "_key", "_n", F.coalesce("_root", "_key").alias("_group"), component.alias("_component"))
@@ -348,6 +349,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     found = near_duplicates(docs, id_col, text_col, shingle_words, percent)
     first = F.min(F.struct(F.col("_id").isNull().alias("z"), F.col("_id").alias("i"), F.col("_key").alias("k"))).alias("_first")
-    kept = found.groupBy("_group").agg(first).select(F.col("_first.k").alias("_keep")).distinct()
-    rows = docs.withColumn("_row_key", row_key(id_col, text_col))
-    return rows.join(kept, F.col("_row_key") == F.col("_keep")).dropDuplicates(["_row_key"]).select(docs.columns)
+    key, keep = free_name(docs, "_row_key"), free_name(docs, "_keep")
+    kept = found.groupBy("_group").agg(first).select(F.col("_first.k").alias(keep)).distinct()
+    rows = docs.withColumn(key, row_key(id_col, text_col))
+    return rows.join(kept, F.col(key) == F.col(keep)).dropDuplicates([key]).select(*(F.col(f"`{c}`") for c in docs.columns))
