@@ -10,7 +10,7 @@ from almenara.llm.line_dedup import line_dedup
 from almenara.llm.mixing import mix_sources
 from almenara.llm.near_dup import drop_near_duplicates
 from almenara.llm.quality_rules import quality_rules
-from almenara.llm.tables import stored
+from almenara.llm.tables import release, stored
 
 #: latent semantic retrieval has no SQL form
 ORACLE_SQL = None
@@ -57,4 +57,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), "pipeline")
+        release(spark)
     return STAGES[-1][1](spark, docs, sf_dir)
