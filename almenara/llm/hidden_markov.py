@@ -35,7 +35,7 @@ from almenara.llm.tables import row_key, stored, text_bytes
 STATES, CLASS_BITS, ROUNDS = 12, 15, 8
 END = 1 << CLASS_BITS
 #: bytes of text in a block, tokens of a learning stretch, tokens scored in one walk, stretches learned from at once
-BLOCK, CHUNK, LONG, GROUP = 4 << 20, 128, 2048, 4096
+BLOCK, CHUNK, LONG, GROUP = 8 << 20, 128, 8192, 1024
 #: tokens' worth of plain class shares that every state starts a round with
 PRIOR = 10_000.0
 _PART = 1024  # classes in one row of expected counts
@@ -45,7 +45,7 @@ Model = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
 def encode(docs: DataFrame, learn: Column, id_col: str, text_col: str) -> DataFrame:
-    """One row per block: ``_docs`` (id, key, learning, words each), ``_words`` (numbers in ``_terms``), ``_terms``, ``_counts`` (in learning texts)."""
+    """One row per block: ``_docs`` (id, key, learning, words each), ``_words`` (numbers of terms), ``_classes`` and ``_terms`` of the dictionary, ``_counts`` (in learning texts)."""
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), row_key(id_col, text_col).alias("_key"), F.coalesce(learn, F.lit(False)).alias("_learn"), text_bytes(text_col).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,22 +55,28 @@ def encode(docs: DataFrame, learn: Column, id_col: str, text_col: str) -> DataFr
             learning = batch["_learn"].to_numpy(zero_copy_only=False)
             for first, last in document_blocks(offsets, BLOCK):
                 hashes, edges = word_hashes(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
-                terms, at = np.unique(hashes, return_inverse=True)
+                terms, at, often = np.unique(hashes, return_inverse=True, return_counts=True)
+                order = np.argsort(-often, kind="stable")  # frequent words get small numbers
+                terms, at = terms[order], np.argsort(order)[at]
                 size = np.diff(edges)
                 counts = np.bincount(at[np.repeat(learning[first:last], size)], minlength=len(terms))
                 here = batch.slice(first, last - first)
                 held = pa.StructArray.from_arrays([here["_id"], here["_key"], here["_learn"], pa.array(size, pa.int64())], names=["_id", "_key", "_learn", "_n"])
-                columns = [pa.array([block], pa.int64()), _one(held), pa.array([at.astype(_number(terms)).tobytes()], pa.binary()), _one(pa.array(terms.view(np.int64))), _one(pa.array(counts, pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["_block", "_docs", "_words", "_terms", "_counts"])
+                columns = [pa.array([block], pa.int64()), _one(held), pa.array([packed(at)], pa.binary()), pa.array([class_of(terms).astype(np.uint16).tobytes()], pa.binary()), _one(pa.array(terms.view(np.int64))), _one(pa.array(counts, pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["_block", "_docs", "_words", "_classes", "_terms", "_counts"])
                 block += 1
 
     id_type = rows.schema["_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"_block bigint, _docs array<struct<_id:{id_type},_key:bigint,_learn:boolean,_n:bigint>>, _words binary, _terms array<bigint>, _counts array<bigint>")
+    return rows.mapInArrow(run, f"_block bigint, _docs array<struct<_id:{id_type},_key:bigint,_learn:boolean,_n:bigint>>, _words binary, _classes binary, _terms array<bigint>, _counts array<bigint>")
 
 
-def _number(terms: np.ndarray) -> type:
-    """Type of the numbers of words in a block: two bytes where they do."""
-    return np.uint16 if len(terms) <= 1 << 16 else np.int32
+def packed(numbers: np.ndarray) -> bytes:
+    """All lowest bytes, then all second ones and so on: the upper ones are mostly zero and compress well."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def unpacked(data: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(data.reshape(4, -1).T).view("<u4")[:, 0].astype(np.int64)
 
 
 def _one(values: pa.Array) -> pa.Array:
@@ -78,11 +84,11 @@ def _one(values: pa.Array) -> pa.Array:
 
 
 def _open(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, pa.StructArray]]:
-    """Row, terms, term number of each word, and documents of every block."""
-    words, cuts = column_bytes(batch["_words"])
+    """Row, class of each term, term number of each word, and documents of every block."""
+    (words, cuts), (classes, ends) = column_bytes(batch["_words"]), column_bytes(batch["_classes"])
     for i in range(batch.num_rows):
-        terms = batch["_terms"][i].values.to_numpy()
-        yield i, terms, np.frombuffer(words[cuts[i] : cuts[i + 1]].tobytes(), _number(terms)), batch["_docs"][i].values
+        kinds = np.frombuffer(classes[ends[i] : ends[i + 1]].tobytes(), np.uint16).astype(np.int64)
+        yield i, kinds, unpacked(words[cuts[i] : cuts[i + 1]]), batch["_docs"][i].values
 
 
 def class_of(terms: np.ndarray) -> np.ndarray:
@@ -109,21 +115,23 @@ def walk(model: Model, classes: np.ndarray, start: np.ndarray, length: np.ndarra
     """Scaled forward recursion over sequences side by side: log-likelihoods, and the states' shares at the ends.
 
     Sequences come longest first; ``begin`` has the state probabilities of their
-    first tokens. ``kept`` collects active number, classes, shares and scales of every step.
+    first tokens. ``kept`` collects classes, emissions, shares and scales of
+    every step. Inside, states are rows, so that every step works on long rows.
     """
-    emission, transition = model[0], model[1]
-    total, now = np.zeros(len(start)), begin.copy()
+    emission, transition = model[0], np.ascontiguousarray(model[1].T)
+    total, now = np.zeros(len(start)), np.array(begin.T, emission.dtype, order="C")
     active = len(start) - np.searchsorted(length[::-1], np.arange(length[0] if len(length) else 0), side="right")
     for t, n in enumerate(active.tolist()):
         c = classes[start[:n] + t]
-        x = (now[:n] @ transition if t else now[:n]) * emission[c]
-        scale = x.sum(axis=1)
-        x /= scale[:, None]
-        now[:n] = x
+        given = np.ascontiguousarray(emission[c].T)
+        x = (transition @ now[:, :n] if t else now[:, :n]) * given
+        scale = x.sum(axis=0)
+        x /= scale
+        now[:, :n] = x
         total[:n] += np.log(scale)
         if kept is not None:
-            kept.append((n, c, x, scale))
-    return total, now
+            kept.append((c, given, x, scale))
+    return total, now.T
 
 
 class Expected:
@@ -137,45 +145,43 @@ class Expected:
 
     def add(self, model: Model, classes: np.ndarray, start: np.ndarray, length: np.ndarray, opens: np.ndarray) -> None:
         """Forward and backward over stretches, ``GROUP`` at a time."""
+        transition = np.ascontiguousarray(model[1])
         order = np.argsort(-length, kind="stable")
         for a in range(0, len(order), GROUP):
             rows = order[a : a + GROUP]
             kept: list = []
             begin = np.where(opens[rows, None], model[2], model[3])
             self.likelihood += float(walk(model, classes, start[rows], length[rows], begin, kept)[0].sum())
-            emission, transition = model[0], model[1]
-            ahead, pairs = np.zeros((0, len(transition))), np.zeros_like(transition)
-            seen, shares = [], []
-            for t in range(len(kept) - 1, -1, -1):
-                n, c, x, scale = kept[t]
-                behind = np.ones((n, len(transition)))
-                if len(ahead):
-                    pairs += x[: len(ahead)].T @ ahead
-                    behind[: len(ahead)] = ahead @ transition.T
-                share = x * behind
-                seen.append(c)
-                shares.append(share)
-                ahead = emission[c] * behind / scale[:, None]
+            ahead, pairs = np.zeros((len(transition), 0), transition.dtype), np.zeros_like(transition)
+            shares = []
+            for c, given, x, scale in reversed(kept):
+                n = ahead.shape[1]
+                behind = np.ones_like(x)
+                if n:
+                    pairs += x[:, :n] @ ahead.T
+                    behind[:, :n] = transition @ ahead
+                shares.append(x * behind)
+                ahead = given * behind / scale
             self.transition += pairs * transition
-            self.first += shares[-1][opens[rows]].sum(axis=0)
-            self.rest += shares[-1][~opens[rows]].sum(axis=0)
-            c, share = np.concatenate(seen), np.concatenate(shares)
-            for k in range(share.shape[1]):
-                self.emission[:, k] += np.bincount(c, weights=share[:, k], minlength=len(self.emission))
+            self.first += shares[-1][:, opens[rows]].sum(axis=1)
+            self.rest += shares[-1][:, ~opens[rows]].sum(axis=1)
+            c, share = np.concatenate([k[0] for k in reversed(kept)]), np.concatenate(shares, axis=1)
+            for k in range(len(share)):
+                self.emission[:, k] += np.bincount(c, weights=share[k], minlength=len(self.emission))
 
 
 def expected_counts(coded: DataFrame, model: Model, tasks: int) -> Expected:
     """Expected counts over all learning documents: ``tasks`` tasks add up theirs, then sums of sums; a table of fixed size."""
     states = len(model[1])
-    shared = coded.sparkSession.sparkContext.broadcast(model)  # 2**15 x states numbers
+    shared = coded.sparkSession.sparkContext.broadcast(tuple(x.astype(np.float32) for x in model))  # 2**15 x states numbers
     kind, salts = "part int, sums binary", 16
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = Expected(states)
         for batch in batches:
-            for _, terms, words, held in _open(batch):
+            for _, kinds, words, held in _open(batch):
                 size, learn = held.field("_n").to_numpy(), held.field("_learn").to_numpy(zero_copy_only=False)
-                classes, start, length = with_ends(class_of(terms)[words], size)
+                classes, start, length = with_ends(kinds[words], size)
                 got.add(shared.value, classes, *stretch(start[learn], length[learn], CHUNK))
         parts = {i: got.emission[i * _PART : (i + 1) * _PART] for i in range(len(got.emission) // _PART)}
         parts[-1] = np.concatenate([got.transition.ravel(), got.first, got.rest, [got.likelihood]])
@@ -192,7 +198,7 @@ def expected_counts(coded: DataFrame, model: Model, tasks: int) -> Expected:
     def rows_of(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array([x.astype(np.float32).tobytes() for x in parts.values()], pa.binary())], names=["part", "sums"])
 
-    partial = coded.select("_docs", "_words", "_terms").coalesce(tasks).mapInArrow(gather, kind).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    partial = coded.select("_docs", "_words", "_classes").coalesce(tasks).mapInArrow(gather, kind).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     some = partial.repartition("part", "salt").select("part", "sums").mapInArrow(combine, kind)
     rows = some.repartition("part").mapInArrow(combine, kind).toArrow()
     shared.destroy()
@@ -291,13 +297,12 @@ def _score(coded: DataFrame, counts: DataFrame, model: Model, total: np.ndarray,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         *tables, below = shared.value
         for batch in batches:
-            for i, terms, words, held in _open(batch):
-                count = np.zeros(len(terms), np.int64)
+            for i, word_class, words, held in _open(batch):
+                count = np.zeros(len(word_class), np.int64)
                 if batch["_found"][i].is_valid:
                     got = batch["_found"][i].values
                     count[got.field("_at").to_numpy()] = got.field("_count").to_numpy()
                 size = held.field("_n").to_numpy()
-                word_class = class_of(terms)
                 document = np.repeat(np.arange(len(size)), size)
 
                 def per_document(values: np.ndarray, words=words, document=document, size=size) -> np.ndarray:
@@ -312,5 +317,5 @@ def _score(coded: DataFrame, counts: DataFrame, model: Model, total: np.ndarray,
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     below_end = int(total[END])
-    joined = coded.select("_block", "_docs", "_words", "_terms").join(found, "_block", "left")
-    return joined.select("_docs", "_words", "_terms", "_found").mapInArrow(run, f"_id {id_type}, _key bigint, _learn boolean, _n_tokens bigint, _n_known bigint, _train_tokens bigint, _base double, _score double")
+    joined = coded.select("_block", "_docs", "_words", "_classes").join(found, "_block", "left")
+    return joined.select("_docs", "_words", "_classes", "_found").mapInArrow(run, f"_id {id_type}, _key bigint, _learn boolean, _n_tokens bigint, _n_known bigint, _train_tokens bigint, _base double, _score double")
