@@ -47,6 +47,25 @@ def parse_timestamp(
     return F.coalesce(*tries)
 
 
+def date_order_evidence(line: Column | str, delimiter: str = ";") -> tuple[Column, Column]:
+    """1 where the line's first date of this shape can only begin with the day, or only with the month; else 0.
+
+    Dates like ``05/02/2024`` fit both orders and tell nothing.
+    """
+    pattern = rf'(?:^|{delimiter})"?\s*(\d{{1,2}})[/-](\d{{1,2}})[/-]\d{{4}}(?!\d)'
+    first, second = (F.regexp_extract(as_column(line), pattern, k).try_cast("int") for k in (1, 2))
+
+    def only(large: Column, small: Column) -> Column:
+        return F.coalesce((large.between(13, 31) & small.between(1, 12)).cast("int"), F.lit(0))
+
+    return only(first, second), only(second, first)
+
+
+def parse_ordered_timestamp(c: Column | str, day_first: Column, formats: Sequence[tuple[str, str | None]] = TIMESTAMP_FORMATS) -> Column:
+    """``parse_timestamp``, with the day before the month in rows where ``day_first`` is true."""
+    return F.when(day_first, parse_timestamp(c, timestamp_formats(True))).otherwise(parse_timestamp(c, formats))
+
+
 def safe_timestamp(c: Column | str) -> Column:
     """Timestamp from text in Spark's own reading; null words give null."""
     return F.try_to_timestamp(null_words(c, TIMESTAMP_NULL_WORDS))

@@ -25,6 +25,33 @@ def totals(df: DataFrame, *keys: str, weight: str | None = None) -> DataFrame:
     return df.groupBy(*keys).agg(row_count(weight).alias("TOTAL"))
 
 
+def grouping_number(columns: Sequence[str], keys: Sequence[str]) -> int:
+    """``grouping_id`` of the set ``keys`` among ``columns``: a bit for each column that is not in it."""
+    return sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys)
+
+
+def totals_together(df: DataFrame, sets: Sequence[Sequence[str]], weight: str | None = None) -> DataFrame:
+    """Totals by each of several sets of keys, from one scan: ``CONJUNTO`` (``grouping_number``), all keys, ``TOTAL``.
+
+    Rows are expanded to one per set within the task and counted there first, so
+    a task sends on one row for each group it has seen.
+    """
+    columns = list(dict.fromkeys(k for keys in sets for k in keys))
+    grouped = df.groupingSets([[F.col(k) for k in keys] for keys in sets], *columns)
+    return grouped.agg(F.grouping_id().alias("CONJUNTO"), row_count(weight).alias("TOTAL"))
+
+
+def one_set(together: DataFrame, *keys: str) -> DataFrame:
+    """``totals`` by ``keys`` out of ``totals_together``."""
+    columns = [c for c in together.columns if c not in ("CONJUNTO", "TOTAL")]
+    return together.where(F.col("CONJUNTO") == grouping_number(columns, keys)).select(*keys, "TOTAL")
+
+
+def merged_totals(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Totals whose rows were appended run by run, added up to one row per key."""
+    return totals(df, *keys, weight="TOTAL")
+
+
 def daily_totals(df: DataFrame, weight: str | None = None) -> DataFrame:
     return totals(df, "FECHA", weight=weight)
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almenara.fixed_values import DECLARED_MISSING, LABELS
 from almenara.functions.codes import lenient_int, map_label, map_priority, standard_code
-from almenara.functions.dates import TIMESTAMP_FORMATS, parse_timestamp, weekday_en, weekday_es
+from almenara.functions.dates import TIMESTAMP_FORMATS, parse_ordered_timestamp, parse_timestamp, weekday_en, weekday_es
 from almenara.functions.text import (
     repair_columns,
     repair_text,
@@ -17,7 +17,7 @@ from almenara.functions.text import (
     standard_text,
     string_columns,
 )
-from almenara.schema import CLEAN_SCHEMA, LABEL_COLUMNS, REQUIRED_COLUMNS, TIMESTAMP_COLUMN
+from almenara.schema import CLEAN_SCHEMA, DAY_FIRST_COLUMN, LABEL_COLUMNS, REQUIRED_COLUMNS, TIMESTAMP_COLUMN
 
 
 def require_columns(df: DataFrame, names: Sequence[str]) -> None:
@@ -33,6 +33,13 @@ def _standard_texts(raw: DataFrame) -> DataFrame:
     return repair_columns(standard_columns(texts))
 
 
+def _read_timestamp(df: DataFrame, c: Column | str, formats: Sequence[tuple[str, str | None]]) -> Column:
+    """By the order of each row's file, where the table tells it."""
+    if DAY_FIRST_COLUMN not in df.columns:
+        return parse_timestamp(c, formats)
+    return parse_ordered_timestamp(c, F.col(DAY_FIRST_COLUMN) == "1", formats)
+
+
 def standardize(
     raw: DataFrame,
     labels: Mapping[str, str | None] = LABELS,
@@ -40,7 +47,9 @@ def standardize(
 ) -> DataFrame:
     """Incident table in ``CLEAN_SCHEMA`` (columns the input has).
 
-    Row-local throughout: no shuffle, no Python, one pass over the input.
+    Row-local throughout: no shuffle, no Python, one pass over the input. Rows
+    with "1" in ``DAY_FIRST_COLUMN``, if there is one, have the day before the
+    month where a date allows both.
     """
     df = _standard_texts(raw)
     mapped = {c: map_label(c, labels) for c in LABEL_COLUMNS}
@@ -49,7 +58,7 @@ def standardize(
     )
     df = df.withColumn("PRIORIDAD_FINAL", map_priority("PRIORIDAD_FINAL"))
     df = df.withColumns({c: repair_text(c) for c in string_columns(df)})
-    df = df.withColumn(TIMESTAMP_COLUMN, parse_timestamp(TIMESTAMP_COLUMN, formats))
+    df = df.withColumn(TIMESTAMP_COLUMN, _read_timestamp(df, TIMESTAMP_COLUMN, formats))
     df = df.withColumns(
         {
             "FECHA": F.to_date(TIMESTAMP_COLUMN),
@@ -73,7 +82,7 @@ def rejects(
     readers = {
         "CODIGO_LOCALIDAD": standard_code,
         "EDAD": lenient_int,
-        TIMESTAMP_COLUMN: lambda c: parse_timestamp(c, formats),
+        TIMESTAMP_COLUMN: lambda c: _read_timestamp(raw, c, formats),
     }
     texts = raw.withColumns({f"__{c}": standard_text(F.col(c).cast("string")) for c in readers})
     texts = texts.withColumns({f"__{c}": repair_text(f"__{c}") for c in readers})
@@ -85,5 +94,6 @@ def rejects(
     ]
     # a generator, so that the null test below is not pushed into the texts'
     # projections, where every reading would be worked out again
-    cells = texts.select(*raw.columns, F.stack(F.lit(len(faults)), *faults).alias("MOTIVO"))
+    given = [c for c in raw.columns if c != DAY_FIRST_COLUMN]
+    cells = texts.select(*given, F.stack(F.lit(len(faults)), *faults).alias("MOTIVO"))
     return cells.where(F.col("MOTIVO").isNotNull())

@@ -14,7 +14,7 @@ from almenara.operators.filters import ReportFilter, in_date_range, is_empty
 from almenara.operators.joins import join_small, map_has_points, map_points, map_totals
 from almenara.operators.sinks import spread, write_parquet, write_partitioned
 from almenara.operators.standardize import rejects, standardize
-from almenara.plans.report import incident_cube, prepare_incidents, report
+from almenara.plans.report import ReportSession, incident_cube, prepare_incidents, report
 from almenara.plans.stand_ins import (
     event_times,
     incidents,
@@ -23,8 +23,8 @@ from almenara.plans.stand_ins import (
     table,
     text_code_incidents,
 )
-from almenara.plans.tables import write_tables
-from almenara.schema import AGGREGATE_TABLES
+from almenara.plans.tables import merge_appended, retype, write_tables
+from almenara.schema import AGGREGATE_TABLES, DAY_FIRST_COLUMN
 from almenara.session import scratch_folder
 from almenara.sources.csv_folder import read_csv_folder
 from almenara.sources.geojson import locality_points, parse_geojson, read_geojson
@@ -448,6 +448,20 @@ def csv_ingest(spark, sf_dir):
     return read_csv_folder(spark, folder).records
 
 
+def csv_date_orders(spark, sf_dir):
+    """Order dates written day first into one file and month first into another, read by each file's order."""
+    folder = scratch_folder(spark, "csv-dates")
+    orders = table(spark, sf_dir, "orders")
+    closed = F.col("o_orderstatus") == "F"
+    for rows, form in ((orders.where(closed), "dd/MM/yyyy HH:mm"), (orders.where(~closed), "MM/dd/yyyy HH:mm")):
+        text_ = F.date_format("o_orderdate", form).alias("FECHA_DESPACHO_518")
+        # one file for each order: the few rows of a small part might hold no date that tells
+        rows.select(F.col("o_orderkey").cast("string").alias("NUMERO_INCIDENTE"), text_).coalesce(1).write.mode("append").options(header=True, sep=";").csv(folder)
+    found = read_csv_folder(spark, folder, day_first_column=DAY_FIRST_COLUMN).records
+    when = dates.parse_ordered_timestamp("FECHA_INICIO_DESPLAZAMIENTO_MOVIL", F.col(DAY_FIRST_COLUMN) == "1")
+    return found.select("NUMERO_INCIDENTE", when.alias("TS")).select("NUMERO_INCIDENTE", wall_clock("TS"))
+
+
 def malformed_records(spark, sf_dir):
     """Orders written with a field too many in every seventh record; these come back as they stood."""
     folder = scratch_folder(spark, "csv-malformed")
@@ -504,6 +518,35 @@ def stored_totals_append(spark, sf_dir):
     return A.totals(_labelled_totals(spark, paths), "TABLA", "CLAVE_1", "CLAVE_2", weight="TOTAL")
 
 
+def merged_appends(spark, sf_dir):
+    """Three runs that append to the same totals, then merged to one row per key."""
+    config = {"base_path": scratch_folder(spark, "tables")}
+    rows = prepare_incidents(incidents(spark, sf_dir)).drop("TS_SAFE", "DOW")
+    kind = F.col("TIPO_INCIDENTE")
+    layout = {"diario": [], "heatmap": ["DIA_SEMANA"]}
+    for part in (rows.where(kind == "F"), rows.where(kind == "O"), rows.where(~kind.isin("F", "O") | kind.isNull())):
+        paths = write_tables(spark, part, config, "append", False, False, partition_by=layout)
+    merged = {n: merge_appended(spark, n, paths[n], layout.get(n)) for n in AGGREGATE_TABLES}
+    return _labelled_totals(spark, merged)
+
+
+def retyped_texts(spark, sf_dir):
+    """Event rows as text, taken in and given their types again."""
+    rows = prepare_incidents(event_times(spark, sf_dir)).select("FECHA", "HORA", "TIPO_INCIDENTE")
+    texts = rows.select(*(F.col(c).cast("string").alias(c) for c in rows.columns))
+    return A.totals(retype(texts), "FECHA", "HORA")
+
+
+def session_requests(spark, sf_dir):
+    """A report session over a stored table: the number of incidents it keeps, beside the trend of one request."""
+    rows = prepare_incidents(incidents(spark, sf_dir)).drop("TS_SAFE", "DOW")
+    path = write_parquet(rows, scratch_folder(spark, "general"))
+    with ReportSession(prepare_incidents(read_parquet(spark, path)), localities(spark, sf_dir)) as session:
+        kept = session.materialize()
+        trend = session.request(REQUEST)["trend"].withColumn("INCIDENTES", F.lit(kept).cast("bigint"))
+        return read_parquet(spark, write_parquet(trend, scratch_folder(spark, "session")), trend.schema)
+
+
 def spread_by_date(spark, sf_dir):
     """Rows laid out by date, hot dates over several tasks, then counted."""
     orders = _order_dates(spark, sf_dir)
@@ -565,10 +608,14 @@ QUERIES: dict[str, Query] = {
     "clean_incidents": clean_incidents,
     "rejects": reject_rows,
     "csv_ingest": csv_ingest,
+    "csv_date_orders": csv_date_orders,
     "malformed_records": malformed_records,
     "parquet_roundtrip": parquet_roundtrip,
     "partition_roundtrip": partition_roundtrip,
     "stored_totals": stored_totals,
     "stored_totals_append": stored_totals_append,
+    "merged_appends": merged_appends,
+    "retyped_texts": retyped_texts,
+    "session_requests": session_requests,
     "spread_by_date": spread_by_date,
 }

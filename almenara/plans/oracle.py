@@ -334,3 +334,7 @@ ORACLE["text_timestamp_formats"] = """
 SELECT event_id, CASE event_id % 5 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('second', ts)
   WHEN 2 THEN date_trunc('minute', ts) WHEN 3 THEN date_trunc('milliseconds', ts) ELSE date_trunc('day', ts) END AS "TS"
 FROM events"""
+ORACLE["csv_date_orders"] = 'SELECT CAST(o_orderkey AS VARCHAR) AS "NUMERO_INCIDENTE", date_trunc(\'minute\', CAST(o_orderdate AS TIMESTAMP)) AS "TS" FROM orders'
+ORACLE["merged_appends"] = ORACLE["stored_totals"]
+ORACLE["retyped_texts"] = f'WITH {_EVENT_TIMES} SELECT "FECHA", "HORA", count(*) AS "TOTAL" FROM events_in GROUP BY 1, 2'
+ORACLE["session_requests"] = f'SELECT *, (SELECT count(*) FROM orders) AS "INCIDENTES" FROM ({ORACLE["report_trend"]})'

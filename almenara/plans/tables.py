@@ -3,22 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from almenara.functions.codes import lenient_int
 from almenara.functions.dates import safe_date
-from almenara.operators.aggregates import totals
+from almenara.operators.aggregates import merged_totals, one_set, totals_together
 from almenara.operators.joins import map_totals
 from almenara.operators.sinks import compact, write_parquet, write_partitioned
 from almenara.operators.standardize import rejects, standardize
-from almenara.schema import AGGREGATE_TABLES
+from almenara.schema import AGGREGATE_TABLES, DAY_FIRST_COLUMN
 from almenara.session import scratch_folder
 from almenara.sources.csv_folder import read_csv_folder
 from almenara.sources.geojson import read_localities
-from almenara.sources.tables import as_spark_frame, read_parquet
+from almenara.sources.tables import as_spark_frame, read_parquet, read_totals
 
 #: configuration keys and their default folders below ``base_path``
 FOLDERS = {
@@ -50,8 +53,12 @@ class RawTables(NamedTuple):
 
 
 def load_raw(spark: SparkSession, config: Mapping[str, str]) -> RawTables:
-    """Raw incident table, its unreadable cells and the malformed records."""
-    folder = read_csv_folder(spark, folder_of(config, "data_cruda"))
+    """Raw incident table, its unreadable cells and the malformed records.
+
+    ``records`` has a column more, ``DAY_FIRST_COLUMN``: the order of day and
+    month of the row's file.
+    """
+    folder = read_csv_folder(spark, folder_of(config, "data_cruda"), day_first_column=DAY_FIRST_COLUMN)
     return RawTables(folder.records, rejects(folder.records), folder.malformed)
 
 
@@ -79,8 +86,9 @@ def write_tables(
     other files in those folders are left alone. Totals that are replaced are
     made from the general table as written; totals that are appended to an
     older table count the new rows only, so that its parts add up. The source
-    is read once, and each total scans only its own key columns. A totals table is partitioned by all its keys,
-    one small file per group, unless ``partition_by`` names fewer for it.
+    is read once, and so are the key columns of what was written, for all totals
+    together. A totals table is partitioned by all its keys, one small file per
+    group, unless ``partition_by`` names fewer for it.
     """
     processed = f"{folder_of(config, 'data_procesada')}/{general_folder}"
     dashboard = folder_of(config, "data_dashboard")
@@ -91,10 +99,12 @@ def write_tables(
     paths = {"general": write_parquet(typed, processed, "overwrite" if reset_processed else mode)}
     # what was just written, or the new rows alone
     stored = typed if total_mode == "append" and not reset_processed else read_parquet(spark, processed, typed.schema)
+    together = totals_together(stored, [keys for _, keys in AGGREGATE_TABLES.values()])
+    together = read_parquet(spark, write_parquet(together, scratch_folder(spark, "totals")), together.schema)
     for name, (folder, keys) in AGGREGATE_TABLES.items():
         path = f"{dashboard}/{folder}"
         columns = list((partition_by or {}).get(name, keys))
-        table = totals(stored, *keys)
+        table = one_set(together, *keys)
         if columns:
             width = int(spark.conf.get("spark.sql.shuffle.partitions"))
             write_partitioned(table, path, columns, total_mode, tasks=width)
@@ -104,6 +114,29 @@ def write_tables(
     return paths
 
 
+def merge_appended(spark: SparkSession, name: str, path: str, partition_by: Sequence[str] | None = None) -> str:
+    """Folds what runs appended to a totals table into one row per key.
+
+    ``partition_by`` is what the table was written with; only partitions that
+    hold a key more than once are written again. The sums go to the scratch
+    folder first, as a table cannot be read and replaced in one step.
+    """
+    keys = list(AGGREGATE_TABLES[name][1])
+    folders = keys if partition_by is None else list(partition_by)
+    table = read_totals(spark, name, path)
+    repeated = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("PARTES")).where("PARTES > 1")
+    if repeated.isEmpty():
+        return path
+    if folders:
+        again = repeated.select(*(F.col(f).alias(f"{f}_r") for f in folders)).distinct()
+        table = table.join(again, reduce(and_, [F.col(f).eqNullSafe(F.col(f"{f}_r")) for f in folders]), "left_semi")
+    merged = merged_totals(table, keys)
+    merged = read_parquet(spark, write_parquet(merged, scratch_folder(spark, "merged")), merged.schema)
+    if not folders:
+        return write_parquet(compact(merged), path)
+    return write_partitioned(merged, path, folders, refresh_only=True, tasks=int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def locality_map(
     spark: SparkSession,
     incidents: DataFrame,

@@ -83,3 +83,6 @@ FEATURE_COLLECTION = T.StructType(
         )
     ]
 )
+
+#: "1" in rows of files whose dates begin with the day, "0" in others
+DAY_FIRST_COLUMN = "DIA_PRIMERO"

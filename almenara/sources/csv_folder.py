@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almenara.fixed_values import COLUMN_SYNONYMS, EXPECTED_COLUMNS
+from almenara.functions.dates import date_order_evidence
 from almenara.functions.text import not_blank
 from almenara.operators.clean import clean_cells, concat_tables, project_expected, unify_synonyms
 from almenara.sources.long_records import read_long_records
@@ -50,6 +51,8 @@ class FileGroup(NamedTuple):
     header: tuple[str, ...]
     encoding: str
     mode: str
+    #: dates begin with the day
+    day_first: bool = False
 
 
 #: no field runs over a line end: any file splits over tasks, line by line
@@ -104,14 +107,17 @@ def _may_be_header(value: Column, names: Sequence[str]) -> Column:
 
 
 def profile_files(lines: DataFrame, names: Sequence[str]) -> DataFrame:
-    """One row per file: ``path, header, utf8, joined``.
+    """One row per file: ``path, header, utf8, joined, day_first``.
 
     ``lines`` is a text scan. The header is the first line of the file that is
     not blank, in whatever block. The header candidate is a grouping key and
     all aggregates have fixed width, so this is a hash aggregation with
     map-side combining: what is shuffled is about one row per block and task.
+    Dates begin with the day where more lines allow that order alone than allow
+    the other alone.
     """
     line = F.col("value")
+    day, month = date_order_evidence(line, DELIMITER)
     seen = lines.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -120,8 +126,9 @@ def profile_files(lines: DataFrame, names: Sequence[str]) -> DataFrame:
         F.when(not_blank(line), F.monotonically_increasing_id()).alias("position"),
         F.is_valid_utf8(line).alias("utf8"),
         (F.contains(line, F.lit('"')) & line.rlike(OPEN_QUOTE)).alias("open_quote"),
+        (day - month).alias("day_lead"),
     )
-    flags = [F.bool_and("utf8").alias("utf8"), F.bool_or("open_quote").alias("open_quote")]
+    flags = [F.bool_and("utf8").alias("utf8"), F.bool_or("open_quote").alias("open_quote"), F.sum("day_lead").alias("day_lead")]
     per_header = seen.groupBy("path", "block", "header").agg(F.min("position").alias("position"), F.min("any").alias("any"), *flags)
     place = F.when(F.col("position").isNotNull(), F.struct("block", "position"))
     per_file = per_header.groupBy("path").agg(
@@ -137,18 +144,19 @@ def profile_files(lines: DataFrame, names: Sequence[str]) -> DataFrame:
         "utf8",
         # the line reader knows a header on the first line of a file only
         (F.col("open_quote") | (F.col("position.block") != F.col("start.block")) | (F.col("position.position") != F.col("start.any"))).alias("joined"),
+        (F.col("day_lead") > 0).alias("day_first"),
     )
 
 
 def group_files(profile: DataFrame) -> dict[FileGroup, list[str]]:
-    """Paths per (header, encoding, reading mode), from the profile rows."""
+    """Paths per (header, encoding, reading mode, order of dates), from the profile rows."""
     groups: dict[FileGroup, list[str]] = defaultdict(list)
     for row in profile.toLocalIterator():
         mode = JOINED if row.joined else LINES
         if row.header and re.search(OPEN_QUOTE, row.header):
             raise ValueError(f"the header of {row.path} runs over more than one line")
         encoding = "UTF-8" if row.utf8 else "ISO-8859-1"
-        groups[FileGroup(header_names(row.header), encoding, mode)].append(
+        groups[FileGroup(header_names(row.header), encoding, mode, row.day_first)].append(
             _escape_glob(unquote(row.path))
         )
     return {k: sorted(v) for k, v in sorted(groups.items())}
@@ -234,28 +242,32 @@ def read_csv_folder(
     folder: str,
     expected: Sequence[str] = EXPECTED_COLUMNS,
     synonyms: Mapping[str, Sequence[str]] = COLUMN_SYNONYMS,
+    day_first_column: str | None = None,
 ) -> CsvFolder:
     """All records of the ``.csv`` files directly inside ``folder``.
 
     ``records`` has the expected columns found in any file, all text, cleaned
     cell by cell and with synonyms unified. A folder without such files gives
-    no rows. Profiling runs at once, parsing when the result is used.
+    no rows. Profiling runs at once, parsing when the result is used. With
+    ``day_first_column`` they have that column too: "1" in rows of files whose
+    dates begin with the day, "0" in others.
 
     Files of any size are split over tasks. Those whose fields run over line
     ends have their lines written once, to be put together to records; a field
     that is still open at the end of a file raises ``ValueError``. Blank lines
     between records, of spaces too, are no records.
     """
+    columns = [*expected, day_first_column] if day_first_column else expected
     try:
         lines = spark.read.text(folder_pattern(folder))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         spark.read.option("recursiveFileLookup", True).text(_escape_glob(folder))  # must exist
-        return CsvFolder(_empty(spark, expected), _empty(spark, ["ARCHIVO", "REGISTRO"]))
+        return CsvFolder(_empty(spark, columns), _empty(spark, ["ARCHIVO", "REGISTRO"]))
     groups = group_files(profile_files(lines, known_names(expected, synonyms)))
     if not groups:
-        return CsvFolder(_empty(spark, expected), _empty(spark, ["ARCHIVO", "REGISTRO"]))
+        return CsvFolder(_empty(spark, columns), _empty(spark, ["ARCHIVO", "REGISTRO"]))
     found, malformed = [], []
     for group, paths in groups.items():
         texts = None
@@ -263,5 +275,7 @@ def read_csv_folder(
             texts = read_long_records(spark, paths, group.encoding, OPEN_QUOTE)
         found.append(_records(_scan(spark, group, paths, texts), group, expected, synonyms))
         malformed.append(_malformed(spark, group, paths, texts))
-    records = project_expected(concat_tables(found), expected)
+    if day_first_column:
+        found = [df.withColumn(day_first_column, F.lit("1" if g.day_first else "0")) for df, g in zip(found, groups, strict=True)]
+    records = project_expected(concat_tables(found), columns)
     return CsvFolder(records, concat_tables(malformed))

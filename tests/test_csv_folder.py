@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from almenara.fixed_values import EXPECTED_COLUMNS
+from almenara.functions.dates import parse_ordered_timestamp
 from almenara.sources import csv_folder as C
 
 
@@ -205,3 +206,39 @@ def test_long_file_malformed_and_unclosed(spark, tmp_path, tiny_splits):
     put(str(tmp_path), "a.csv", 'LOCALIDAD;EDAD\nx;1\n"a;2\nb;3\n')
     with pytest.raises(ValueError, match="not closed"):
         C.read_csv_folder(spark, str(tmp_path))
+
+
+def test_date_order_is_settled_per_file(spark, tmp_path):
+    """``05/02`` is read as the other dates of its file; a file that tells nothing is month first."""
+    files = {
+        "day.csv": ["25/02/2024 10:00", "05/02/2024 11:00", "13/14/2024"],
+        "month.csv": ["02/25/2024 10:00", "05/02/2024 11:00", "31-12-2024"],
+        "silent.csv": ["05/02/2024", "2024-02-05"],
+    }
+    for name, dates_ in files.items():
+        lines = "\n".join(f'{name};"{d}"' if i % 2 else f"{name};{d}" for i, d in enumerate(dates_))
+        (tmp_path / name).write_text(f"NUMERO_INCIDENTE;FECHA_DESPACHO_518\n{lines}\n", encoding="utf-8")
+    # two more dates of the month's order outweigh the one of the day's
+    with open(tmp_path / "month.csv", "a", encoding="utf-8") as f:
+        f.write("month.csv;03/30/2024\n")
+    records = C.read_csv_folder(spark, str(tmp_path), day_first_column="DIA_PRIMERO").records
+    ts = parse_ordered_timestamp("FECHA_INICIO_DESPLAZAMIENTO_MOVIL", F.col("DIA_PRIMERO") == "1")
+    got = {}
+    for r in records.select("NUMERO_INCIDENTE", ts.cast("string").alias("t"), "DIA_PRIMERO").collect():
+        got.setdefault((r.NUMERO_INCIDENTE, r.DIA_PRIMERO), set()).add(r.t)
+    assert got == {
+        ("day.csv", "1"): {"2024-02-25 10:00:00", "2024-02-05 11:00:00", None},
+        ("month.csv", "0"): {"2024-02-25 10:00:00", "2024-05-02 11:00:00", "2024-12-31 00:00:00", "2024-03-30 00:00:00"},
+        ("silent.csv", "0"): {"2024-05-02 00:00:00", "2024-02-05 00:00:00"},
+    }
+    (tmp_path / "empty").mkdir()
+    assert "DIA_PRIMERO" in C.read_csv_folder(spark, str(tmp_path / "empty"), day_first_column="DIA_PRIMERO").records.columns
+
+
+def test_only_pieces_of_long_records_are_shuffled(spark, tmp_path, tiny_splits):
+    (tmp_path / "a.csv").write_text("NUMERO_INCIDENTE;LOCALIDAD\n" + "".join(f'{i};"x\ny"\n{i};z\n' for i in range(300)), encoding="utf-8")
+    records = C.read_csv_folder(spark, str(tmp_path)).records
+    assert records.count() == 600
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan  # lines meet in the aggregation of pieces alone
+    assert plan.count("Aggregate [path") == 1

@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from almenara.operators import aggregates as A
+from almenara.operators.aggregates import one_set, totals, totals_together
 from almenara.operators.clean import drop_unnamed, unify_synonyms
 from almenara.operators.sinks import compact, spread, write_partitioned
 from almenara.operators.standardize import rejects, standardize
-from almenara.plans.tables import build, folder_of, load_raw, locality_map, retype, write_tables
+from almenara.plans.tables import build, folder_of, load_raw, locality_map, merge_appended, retype, write_tables
 from almenara.schema import AGGREGATE_TABLES, CLEAN_SCHEMA
 from almenara.sources.tables import as_spark_frame, read_parquet, read_totals
 
@@ -170,3 +171,46 @@ def test_hierarchy_parents_are_sums(spark):
         [("A", "x", 0, 1), ("A", "y", 0, 1), ("B", "x", 0, 1), ("A", None, 1, 2), ("B", None, 1, 1), (None, None, 3, 3)],
         key=str,
     )
+
+
+def test_totals_together_equal_each_alone(spark):
+    rows = spark.createDataFrame([("a", 1, None), ("a", None, "x"), (None, 1, "x"), ("a", 1, None)], "p string, q int, r string")
+    sets = [("p",), ("q", "r"), ("r", "p"), ("p", "q", "r")]
+    together = totals_together(rows, sets)
+    for keys in sets:
+        alone = sorted(map(str, totals(rows, *keys).collect()))
+        assert sorted(map(str, one_set(together, *keys).collect())) == alone
+    assert one_set(totals_together(rows.limit(0), sets), "p").count() == 0
+
+
+def test_one_scan_of_the_general_table_for_all_totals(spark, tmp_path):
+    rows = spark.createDataFrame([("d", "1", "l", "t", None)] * 3, "DIA_SEMANA string, HORA string, LOCALIDAD string, TIPO_INCIDENTE string, PRIORIDAD_FINAL string").withColumn("FECHA", F.lit("2024-01-05"))
+    rows.write.parquet(str(tmp_path / "g"))
+    together = totals_together(read_parquet(spark, str(tmp_path / "g")), [keys for _, keys in AGGREGATE_TABLES.values()])
+    assert together._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert together.agg(F.sum("TOTAL")).first()[0] == 3 * len(AGGREGATE_TABLES)
+
+
+def test_appended_totals_merge_in_touched_partitions_only(spark, config):
+    frame = lambda *places: spark.createDataFrame([(p, 1) for p in places], "LOCALIDAD string, HORA int").withColumns(
+        {"FECHA": F.lit("2024-01-05").cast("date"), "DIA_SEMANA": F.lit("LUNES"), "TIPO_INCIDENTE": F.lit("t"), "PRIORIDAD_FINAL": F.lit(None).cast("string")}
+    )
+    layout = {"diario": []}
+    for part in (frame("a", "b", None), frame("b", None), frame("c")):
+        paths = write_tables(spark, part, config, "append", False, False, partition_by=layout)
+    untouched = set(os.listdir(f"{paths['localidad']}/LOCALIDAD=a"))
+    for name in AGGREGATE_TABLES:
+        for _ in range(2):  # the second time there is nothing to do
+            merge_appended(spark, name, paths[name], layout.get(name))
+        rows = read_totals(spark, name, paths[name]).collect()
+        assert len({r[:-1] for r in map(tuple, rows)}) == len(rows) and sum(r.TOTAL for r in rows) == 6
+    assert {(r.LOCALIDAD, r.TOTAL) for r in read_totals(spark, "localidad", paths["localidad"]).collect()} == {("a", 1), ("b", 2), (None, 2), ("c", 1)}
+    assert set(os.listdir(f"{paths['localidad']}/LOCALIDAD=a")) == untouched
+
+
+def test_dates_of_a_day_first_file_reach_the_clean_table(spark, config):
+    raw, broken, _ = load_raw(spark, config)
+    assert "DIA_PRIMERO" in raw.columns and "DIA_PRIMERO" not in broken.columns
+    flagged = raw.limit(1).withColumns({"FECHA_INICIO_DESPLAZAMIENTO_MOVIL": F.lit("05/02/2024"), "DIA_PRIMERO": F.lit("1")})
+    assert standardize(flagged).first().FECHA == dt.date(2024, 2, 5)
+    assert standardize(flagged.withColumn("DIA_PRIMERO", F.lit("0"))).first().FECHA == dt.date(2024, 5, 2)
