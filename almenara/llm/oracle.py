@@ -71,7 +71,7 @@ s AS (SELECT doc_id, min(i) AS lo, max(i) + 400 AS hi FROM g GROUP BY doc_id, ru
 k AS (SELECT doc_id, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS a, lo AS b FROM s UNION ALL SELECT doc_id, max(hi), NULL FROM s GROUP BY doc_id),
 t AS (SELECT doc_id, string_agg(CASE WHEN b IS NULL THEN substr(h, 2 * a + 1) ELSE substr(h, 2 * a + 1, 2 * (b - a)) END, '' ORDER BY a, b NULLS LAST) AS kept FROM k JOIN d USING (doc_id) GROUP BY doc_id),
 c AS (SELECT doc_id, sum(hi - lo) AS gone, count(*) AS runs FROM s GROUP BY doc_id)
-SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(runs, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(runs, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256, coalesce(gone, 0) > 0 AS has_repeats
 FROM d LEFT JOIN t USING (doc_id) LEFT JOIN c USING (doc_id)
 """
 

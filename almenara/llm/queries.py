@@ -99,7 +99,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated strings of 400 bytes."""
     cut = suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents"), with_bytes=False)
-    return cut.select(F.col("_id").alias("doc_id"), F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"), F.col("_n_spans").alias("n_spans"), F.col("_kept_sha256").alias("kept_sha256"))
+    return cut.select(F.col("_id").alias("doc_id"), F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"), F.col("_n_spans").alias("n_spans"), F.col("_kept_sha256").alias("kept_sha256"), (F.col("_n_removed") > 0).alias("has_repeats"))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
