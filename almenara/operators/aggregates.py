@@ -105,6 +105,29 @@ def top_totals(df: DataFrame, key: str, n: int = 10, weight: str | None = None)
     return totals(df, key, weight=weight).orderBy(F.desc("TOTAL"), F.asc(key)).limit(n)
 
 
+def top_totals_many(df: DataFrame, key: str, n: int = 10, buckets: int = 1 << 16) -> DataFrame:
+    """``top_totals`` for keys with very many values, without a shuffle of every key.
+
+    Keys are hashed into ``buckets``; a bucket's total bounds the total of each
+    key in it from above and takes one row per bucket and task to count. The
+    keys of the ``n`` fullest buckets are counted, and the ``n``-th of them is a
+    bound from below. Only buckets that reach it can hold a key of the list, so
+    only their keys are counted, all of them: the list is exact, whatever the
+    data. With a few keys far above the rest nearly all rows stay where they
+    are; with keys of equal size every bucket counts and it is ``top_totals``
+    after two looks at one column.
+    """
+    keyed = df.select(F.col(f"`{key}`").alias(key), F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(buckets)).cast("int").alias("_bucket"))
+    full = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    fullest = full.orderBy(F.desc("_rows"), "_bucket").limit(n).select("_bucket")
+    # broadcast sides hold one number a bucket: n, and below at most ``buckets``
+    some = totals(keyed.join(F.broadcast(fullest), "_bucket", "left_semi"), key).orderBy(F.desc("TOTAL")).limit(n)
+    # fewer than n keys bound nothing from below
+    least = some.agg(F.when(F.count(F.lit(1)) == n, F.min("TOTAL")).otherwise(F.lit(0)))
+    able = full.where(F.col("_rows") >= least.scalar()).select("_bucket")
+    return totals(keyed.join(F.broadcast(able), "_bucket", "left_semi"), key).orderBy(F.desc("TOTAL"), F.asc(key)).limit(n)
+
+
 def hierarchy_totals(leaves: DataFrame) -> DataFrame:
     """Priority and type totals with their parents.
 

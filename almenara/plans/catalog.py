@@ -12,8 +12,9 @@ from almenara.operators import aggregates as A
 from almenara.operators.clean import concat_tables, drop_unnamed, project_expected, unify_synonyms
 from almenara.operators.filters import ReportFilter, in_date_range, is_empty
 from almenara.operators.joins import join_small, map_has_points, map_points, map_totals
-from almenara.operators.sinks import spread, write_parquet, write_partitioned
+from almenara.operators.sinks import spread, write_clustered, write_parquet, write_partitioned
 from almenara.operators.standardize import rejects, standardize
+from almenara.plans.publish import current_paths, publish_tables
 from almenara.plans.report import ReportSession, incident_cube, prepare_incidents, report
 from almenara.plans.stand_ins import (
     event_times,
@@ -28,7 +29,7 @@ from almenara.schema import AGGREGATE_TABLES, DAY_FIRST_COLUMN
 from almenara.session import scratch_folder
 from almenara.sources.csv_folder import read_csv_folder
 from almenara.sources.geojson import locality_points, parse_geojson, read_geojson
-from almenara.sources.tables import read_parquet, read_totals
+from almenara.sources.tables import read_parquet, read_totals, stored_bounds
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +104,17 @@ def top_types(spark, sf_dir):
     return A.top_totals(parts, "TIPO_INCIDENTE")
 
 
+def top_types_many(spark, sf_dir):
+    parts = table(spark, sf_dir, "part").select(F.col("p_type").alias("TIPO_INCIDENTE"))
+    return A.top_totals_many(parts, "TIPO_INCIDENTE")
+
+
+def top_orders_many(spark, sf_dir):
+    """The customers with most orders: a key with very many values."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("CLIENTE"))
+    return A.top_totals_many(orders, "CLIENTE", n=25)
+
+
 def date_bounds(spark, sf_dir):
     return A.date_bounds(event_times(spark, sf_dir))
 
@@ -477,6 +489,38 @@ def parquet_roundtrip(spark, sf_dir):
     return A.daily_totals(read_parquet(spark, path))
 
 
+def clustered_month(spark, sf_dir):
+    """Events stored in order of their date, one month of them read."""
+    rows = event_times(spark, sf_dir)
+    path = write_clustered(rows, scratch_folder(spark, "clustered"))
+    stored = in_date_range(read_parquet(spark, path, rows.schema), "2024-01-08", "2024-01-14")
+    return A.totals(stored, "FECHA", "TIPO_INCIDENTE")
+
+
+def bloom_lookup(spark, sf_dir):
+    """Orders stored by date with Bloom filters on their number, three of them looked up."""
+    rows = incidents(spark, sf_dir)
+    path = write_clustered(rows, scratch_folder(spark, "bloom"), lookup={"NUMERO_INCIDENTE": 1_000_000})
+    found = read_parquet(spark, path, rows.schema).where(F.col("NUMERO_INCIDENTE").isin("7", "33", "absent"))
+    return found.select("NUMERO_INCIDENTE", "FECHA", "TIPO_INCIDENTE")
+
+
+def footer_bounds_query(spark, sf_dir):
+    """Date bounds and rows of the stored events, from file footers."""
+    path = write_clustered(event_times(spark, sf_dir), scratch_folder(spark, "footers"))
+    return stored_bounds(spark, path)
+
+
+def published_totals(spark, sf_dir):
+    """Two runs published one after the other; the totals of the last one."""
+    config = {"base_path": scratch_folder(spark, "published")}
+    rows = prepare_incidents(incidents(spark, sf_dir)).drop("TS_SAFE", "DOW")
+    flat = {name: [] for name in AGGREGATE_TABLES}
+    publish_tables(spark, rows.where("TIPO_INCIDENTE = 'F'"), config, partition_by=flat)
+    publish_tables(spark, rows, config, partition_by=flat, cluster_by="FECHA")
+    return _labelled_totals(spark, current_paths(spark, config))
+
+
 def partition_roundtrip(spark, sf_dir):
     """Event rows in one directory per day and type, read for one week."""
     rows = event_times(spark, sf_dir)
@@ -565,7 +609,10 @@ QUERIES: dict[str, Query] = {
     "priority_type_rollup": priority_type_rollup,
     "top_localities": top_localities,
     "top_types": top_types,
+    "top_types_many": top_types_many,
+    "top_orders_many": top_orders_many,
     "date_bounds": date_bounds,
+    "footer_bounds": footer_bounds_query,
     "domain_values": domain_values,
     "filtered_daily": filtered_daily,
     "open_range_daily": open_range_daily,
@@ -611,6 +658,9 @@ QUERIES: dict[str, Query] = {
     "csv_date_orders": csv_date_orders,
     "malformed_records": malformed_records,
     "parquet_roundtrip": parquet_roundtrip,
+    "clustered_month": clustered_month,
+    "bloom_lookup": bloom_lookup,
+    "published_totals": published_totals,
     "partition_roundtrip": partition_roundtrip,
     "stored_totals": stored_totals,
     "stored_totals_append": stored_totals_append,

@@ -338,3 +338,12 @@ ORACLE["csv_date_orders"] = 'SELECT CAST(o_orderkey AS VARCHAR) AS "NUMERO_INCID
 ORACLE["merged_appends"] = ORACLE["stored_totals"]
 ORACLE["retyped_texts"] = f'WITH {_EVENT_TIMES} SELECT "FECHA", "HORA", count(*) AS "TOTAL" FROM events_in GROUP BY 1, 2'
 ORACLE["session_requests"] = f'SELECT *, (SELECT count(*) FROM orders) AS "INCIDENTES" FROM ({ORACLE["report_trend"]})'
+ORACLE["clustered_month"] = ORACLE["partition_roundtrip"]
+ORACLE["bloom_lookup"] = f"""WITH {_INCIDENTS} SELECT "NUMERO_INCIDENTE", "FECHA", "TIPO_INCIDENTE" FROM inc
+WHERE "NUMERO_INCIDENTE" IN ('7', '33', 'absent')"""
+ORACLE["footer_bounds"] = f"""WITH {_EVENT_TIMES}
+SELECT min("FECHA") AS "FECHA_MIN", max("FECHA") AS "FECHA_MAX", count(*) AS "FILAS" FROM events_in"""
+ORACLE["published_totals"] = ORACLE["stored_totals"]
+ORACLE["top_types_many"] = ORACLE["top_types"]
+ORACLE["top_orders_many"] = """
+SELECT o_custkey AS "CLIENTE", count(*) AS "TOTAL" FROM orders GROUP BY 1 ORDER BY 2 DESC, 1 ASC NULLS FIRST LIMIT 25"""

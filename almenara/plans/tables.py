@@ -15,7 +15,7 @@ from almenara.functions.codes import lenient_int
 from almenara.functions.dates import safe_date
 from almenara.operators.aggregates import merged_totals, one_set, totals_together
 from almenara.operators.joins import map_totals
-from almenara.operators.sinks import compact, write_parquet, write_partitioned
+from almenara.operators.sinks import compact, write_clustered, write_parquet, write_partitioned
 from almenara.operators.standardize import rejects, standardize
 from almenara.schema import AGGREGATE_TABLES, DAY_FIRST_COLUMN
 from almenara.session import scratch_folder
@@ -23,7 +23,7 @@ from almenara.sources.csv_folder import read_csv_folder
 from almenara.sources.geojson import read_localities
 from almenara.sources.tables import as_spark_frame, read_parquet, read_totals
 
-#: configuration keys and their default folders below ``base_path``
+#: fixed values: configuration keys and their default folders below ``base_path``
 FOLDERS = {
     "data_cruda": "data/cruda",
     "data_procesada": "data/procesada",
@@ -79,6 +79,8 @@ def write_tables(
     reset_dashboard: bool = True,
     general_folder: str = "incidentes",
     partition_by: Mapping[str, Sequence[str]] | None = None,
+    cluster_by: str | None = None,
+    lookup: Mapping[str, int] | None = None,
 ) -> dict[str, str]:
     """Write the general table and the five totals; returns table -> path.
 
@@ -89,6 +91,11 @@ def write_tables(
     is read once, and so are the key columns of what was written, for all totals
     together. A totals table is partitioned by all its keys, one small file per
     group, unless ``partition_by`` names fewer for it.
+
+    ``cluster_by`` sorts the general table over its files by that column, hot
+    values split, so that filters on it skip most row groups; ``lookup`` is that
+    of ``write_clustered``. The one shuffle it costs pays where the table is
+    read often, by date as a rule.
     """
     processed = f"{folder_of(config, 'data_procesada')}/{general_folder}"
     dashboard = folder_of(config, "data_dashboard")
@@ -96,7 +103,11 @@ def write_tables(
     total_mode = "overwrite" if reset_dashboard else mode
     if total_mode == "append" and not reset_processed:
         typed = read_parquet(spark, write_parquet(typed, scratch_folder(spark, "new-rows")), typed.schema)
-    paths = {"general": write_parquet(typed, processed, "overwrite" if reset_processed else mode)}
+    general_mode = "overwrite" if reset_processed else mode
+    if cluster_by:
+        paths = {"general": write_clustered(typed, processed, cluster_by, general_mode, lookup=lookup)}
+    else:
+        paths = {"general": write_parquet(typed, processed, general_mode)}
     # what was just written, or the new rows alone
     stored = typed if total_mode == "append" and not reset_processed else read_parquet(spark, processed, typed.schema)
     together = totals_together(stored, [keys for _, keys in AGGREGATE_TABLES.values()])
