@@ -66,6 +66,36 @@ def running_total(df: DataFrame, group: list[str], bucket: str, order: list[Colu
     return local.join(offsets, on).withColumn(out, F.col(out) + F.col("_before")).drop("_b_o", "_before", *[f"{g}_o" for g in group])
 
 
+def split_slots(rows: DataFrame, slots: int = 4096, least: int = 1000) -> DataFrame:
+    """``rows`` with the slots cut up that one repeated id, or null, has filled.
+
+    Slots of distinct ids fill evenly; one with over four times the mean holds
+    an id that many rows share. Its rows are counted per code and size, and cut
+    in that order into parts of at most the mean; rows equal in code and size
+    are interchangeable, so where they alone are more than a part they are
+    dealt by row number. A part's name sorts as its rows do.
+    """
+    per_slot = rows.groupBy("_source", "_slot").agg(F.count(F.lit(1)).alias("_rows"))
+    mean = F.greatest(F.lit(least), F.floor(per_slot.agg(F.sum("_rows") / slots).scalar()))
+    per_slot = stored(per_slot.withColumn("_mean", mean), "mix-slots").where("_rows > 4 * _mean")
+    hot = per_slot.select(F.col("_source").alias("_source_h"), F.col("_slot").alias("_slot_h"), "_mean")
+    # at most ``slots`` / 4 slots can be over four times the mean
+    marked = rows.join(F.broadcast(hot), F.col("_source").eqNullSafe(F.col("_source_h")) & (F.col("_slot") == F.col("_slot_h")), "left").drop("_source_h", "_slot_h")
+    cell = ["_source", "_slot", "_shuffle", "_size"]
+    full = stored(marked.where("_mean IS NOT NULL"), "mix-full-slots")
+    before = Window.partitionBy("_source", "_slot").orderBy("_shuffle", "_size").rowsBetween(Window.unboundedPreceding, -1)
+    cells = full.groupBy(*cell).agg(F.count(F.lit(1)).alias("_equal"), F.first("_mean").alias("_part_rows"))
+    cells = cells.withColumn("_part_no", F.floor(F.coalesce(F.sum("_equal").over(before), F.lit(0)) / F.col("_part_rows")))
+    cells = stored(cells, "mix-cells").withColumnsRenamed({c: f"{c}_c" for c in cell})
+    same = F.col("_source").eqNullSafe(F.col("_source_c"))
+    for c in cell[1:]:
+        same = same & (F.col(c) == F.col(f"{c}_c"))
+    share = F.pmod("_row", F.ceil(F.col("_equal") / F.col("_part_rows")))
+    name = F.concat_ws(".", "_slot", F.lpad(F.col("_part_no").cast("string"), 12, "0"), F.when(F.col("_equal") > F.col("_part_rows"), F.lpad(share.cast("string"), 12, "0")))
+    parts = full.join(cells, same).withColumn("_slot", name)
+    return marked.where("_mean IS NULL").select(rows.columns).unionByName(parts.select(rows.columns))
+
+
 def mix_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", pattern: tuple[int, ...] = (5, 2, 1), max_repeats: int = 3, budget: int | None = None, buckets: int = 4096) -> DataFrame:
     """One row per document and repeat (``_epoch``), with ``_finish`` and the words taken (``_taken``).
 
@@ -76,8 +106,8 @@ def mix_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     is cut there, so both are met to the word.
 
     A null text has size 0 and is taken 0 times; a null source is a source of
-    its own; rows that repeat are documents of their own; null ids are ordered
-    by their size. An empty table gives no rows.
+    its own; rows that repeat are documents of their own; rows of one id, or
+    without one, are ordered by their size. An empty table gives no rows.
     """
     code = F.md5(F.concat(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null")), F.lit("|mix")))
     rows = docs.select(
@@ -85,11 +115,12 @@ def mix_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col(f"`{source_col}`").alias("_source"),
         word_count(text_col).alias("_size"),
         code.alias("_shuffle"),
+        F.monotonically_increasing_id().alias("_row"),
     ).withColumn("_slot", F.substring("_shuffle", 1, 3))
-    order = [F.col("_shuffle"), F.col("_id"), F.col("_size")]
+    order = [F.col("_shuffle"), F.col("_size"), F.col("_id")]
     ties = Window.partitionBy("_source", "_slot").orderBy(*order, "_upto")
     rows = stored(rows, "mix-rows")
-    ordered = running_total(rows, ["_source"], "_slot", order, "_size", "_upto").withColumn("_nth", F.row_number().over(ties))
+    ordered = running_total(split_slots(rows), ["_source"], "_slot", order, "_size", "_upto").withColumn("_nth", F.row_number().over(ties))
     targets = source_targets(rows.groupBy("_source").agg(F.sum("_size").alias("_source_size")), list(pattern), max_repeats).withColumnRenamed("_source", "_source_t")
     timed = ordered.join(targets, ordered["_source"].eqNullSafe(targets["_source_t"])).drop("_source_t")
     copies = timed.withColumn("_epoch", F.explode(F.array(*[F.lit(e) for e in range(max_repeats)])))

@@ -150,6 +150,23 @@ def test_mix_meets_its_targets(spark):
     assert sorted(map(str, again)) == sorted(map(str, got))
 
 
+def test_mix_splits_the_slot_of_a_repeated_id(spark):
+    """Half the rows without id, of two sizes and equal in all: small tasks, the same mix however they are dealt."""
+    rows = [(None if i % 2 else i, "w " * (5 if i % 10 < 9 else 1 + i % 40), "ab"[i % 3 > 0]) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    want = sorted((str(r._id), r._source, r._size, r._taken) for r in mixing.mix_sources(docs).collect())
+    again = sorted((str(r._id), r._source, r._size, r._taken) for r in mixing.mix_sources(docs.orderBy("source", "text").repartition(5)).collect())
+    assert want == again and len(want) == 6000
+    keyed = mixing.stored(docs.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), mixing.word_count("text").alias("_size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).alias("_shuffle"), F.monotonically_increasing_id().alias("_row")).withColumn("_slot", F.substring("_shuffle", 1, 3)), "test")
+    split = mixing.split_slots(keyed, least=50)
+    assert split.exceptAll(keyed.select(split.columns)).select("_row").join(keyed, "_row").count() > 2900
+    assert split.count() == 6000 and split.select("_row").distinct().count() == 6000
+    assert max(r["count"] for r in split.groupBy("_source", "_slot").count().collect()) <= 110
+    # names sort as rows do: by code, then size
+    names = sorted({(r._source, r._slot, r._shuffle, r._size) for r in split.where("_id IS NULL").collect()})
+    assert [n[3] for n in names if n[0] == "a"] == sorted(n[3] for n in names if n[0] == "a")
+
+
 def test_mix_budget_order_and_odd_rows(spark):
     docs = frame(spark, ["a b c d"] * 30, sources=["p"] * 20 + ["q"] * 10)
     copies = mixing.mix_copies(docs, budget=50).collect()
