@@ -14,7 +14,8 @@ import pyarrow as pa
 
 #: texts are worked on in pieces of about so many bytes, whatever their length
 PIECE = 1 << 20
-_PRIME = 0x9E3779B97F4A7C15
+#: base of the rolling hashes
+PRIME = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _POWERS: dict[str, np.ndarray] = {}
 
@@ -32,7 +33,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def seeds(n: int, seed: int) -> np.ndarray:
     """``n`` fixed odd 64-bit numbers."""
-    x = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(_PRIME) + np.uint64(seed)
+    x = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(PRIME) + np.uint64(seed)
     return mix(x) | np.uint64(1)
 
 
@@ -53,8 +54,8 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and their inverses modulo 2**64, at least ``n``."""
     if len(_POWERS.get("up", ())) < n:
         size = max(n, PIECE + 4096)
-        inverse = pow(_PRIME, -1, 1 << 64)
-        for name, base in (("up", _PRIME), ("down", inverse)):
+        inverse = pow(PRIME, -1, 1 << 64)
+        for name, base in (("up", PRIME), ("down", inverse)):
             steps = np.full(size, base, dtype=np.uint64)
             steps[0] = 1
             _POWERS[name] = np.multiply.accumulate(steps)

@@ -3,8 +3,11 @@
 One pass over the rows, no shuffle. Word hashes of a batch come from one
 rolling hash over its bytes; windows of several lengths are combined from word
 hashes, and repeats are found by sorting (document, window hash) within a
-piece of about a megabyte, so memory does not grow with batch or text size
-beyond eight bytes a word of the longest text.
+piece of about a megabyte. A longer text is read in pieces cut at any byte:
+words and lines over a cut are put together from the hashes of their parts.
+Its words are kept, as hash and length, and its windows sorted in parts by
+hash, some 30 bytes a word in all; windows that are all equal, as of one word
+without end, are one part and take some 80.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from almenara.llm.arrays import column_bytes, document_blocks, mix, ngram_hashes, prefix_hashes, seeds, space_table, span_hashes, words_of
+from almenara.llm.arrays import PIECE, PRIME, column_bytes, document_blocks, mix, ngram_hashes, prefix_hashes, seeds, space_table, span_hashes, words_of
 from almenara.llm.tables import free_name, text_bytes
 
 #: largest share of a text's word characters inside windows of n words that
@@ -50,11 +53,11 @@ def _repeats(doc: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _covered(windows: np.ndarray, n: int, size: int) -> np.ndarray:
     """Words inside the marked windows of n words."""
-    steps = np.zeros(size + 1, np.int64)
-    at = np.flatnonzero(windows)
-    np.add.at(steps, at, 1)
-    np.add.at(steps, at + n, -1)
-    return np.cumsum(steps)[:size] > 0
+    steps = np.zeros(size + 1, np.int32)
+    at = np.flatnonzero(windows)  # each place once, so plain indexing adds up
+    steps[at] += 1
+    steps[at + n] -= 1
+    return np.cumsum(steps, out=steps)[:size] > 0
 
 
 def _per_doc(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
@@ -104,6 +107,85 @@ def measure(data: np.ndarray, offsets: np.ndarray, lengths: tuple[int, ...]) ->
     return out
 
 
+class _Spans:
+    """Words or lines of a text that comes in pieces: hash, bytes and code points of each."""
+
+    def __init__(self) -> None:
+        self.rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.open: tuple[int, int, int] | None = None
+
+    def add(self, hashes: np.ndarray, sizes: np.ndarray, chars: np.ndarray, joins: bool, opens: bool) -> None:
+        """One piece's spans; its first goes on from the piece before (``joins``), its last goes on behind it (``opens``)."""
+        if self.open is not None and joins:
+            h, size, n = self.open
+            hashes[0] = (h + int(hashes[0]) * pow(PRIME, size, 1 << 64)) % (1 << 64)
+            sizes[0] += size
+            chars[0] += n
+            self.open = None
+        self.close()
+        if opens:
+            self.open = int(hashes[-1]), int(sizes[-1]), int(chars[-1])
+            hashes, sizes, chars = hashes[:-1], sizes[:-1], chars[:-1]
+        self.rows.append((hashes, sizes, chars))
+
+    def close(self) -> None:
+        if self.open is not None:
+            h, size, n = self.open
+            self.rows.append((np.array([h], np.uint64), np.array([size], np.int32), np.array([n], np.int32)))
+            self.open = None
+
+    def all(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        self.close()
+        hashes, sizes, chars = (np.concatenate(x) for x in zip(*self.rows, strict=True))
+        self.rows = []
+        return hashes, sizes, chars
+
+
+def _repeats_by_part(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_repeats`` of one document, so many hashes at a time as a piece has bytes; equal hashes come together."""
+    bits = max(0, int(len(hashes) // PIECE).bit_length())
+    found, earlier = np.zeros(len(hashes), bool), np.zeros(len(hashes), bool)
+    for k in range(1 << bits):
+        at = np.flatnonzero(hashes >> np.uint64(64 - bits) == k) if bits else np.arange(len(hashes))
+        found[at], earlier[at] = _repeats(np.zeros(len(at), np.int64), hashes[at])
+    return found, earlier
+
+
+def measure_long(data: np.ndarray, lengths: tuple[int, ...]) -> dict[str, np.ndarray]:
+    """As ``measure`` for one document of any length."""
+    space, symbol, n_symbols = space_table(), np.zeros(256, bool), 0
+    symbol[list(_SYMBOLS)] = True
+    words, lines = _Spans(), _Spans()
+    for a in range(0, len(data), PIECE):
+        part = data[a : a + PIECE]
+        prefix = prefix_hashes(part)
+        n_symbols += int(symbol[part].sum())
+        chars = np.concatenate([[0], np.cumsum(~space[part] & ((part & 0xC0) != 0x80), dtype=np.int32)])
+        starts, ends = words_of(part, np.array([0, len(part)]))
+        feeds = np.flatnonzero(part == 10)
+        begin, end = np.append(0, feeds + 1), np.append(feeds, len(part))
+        for spans, b, e, joins, opens in (
+            (words, starts, ends, len(starts) > 0 and starts[0] == 0, len(ends) > 0 and ends[-1] == len(part)),
+            (lines, begin, end, True, True),
+        ):
+            spans.add(span_hashes(prefix, b, e), (e - b).astype(np.int32), chars[e] - chars[b], joins, opens)
+    hashes, _, chars = words.all()
+    hashes = mix(hashes)
+    one = lambda x: np.array([int(x)], np.int64)
+    out = {"n_words": one(len(hashes)), "word_chars": one(chars.sum(dtype=np.int64)), "n_symbols": one(n_symbols)}
+    for n in sorted({5, *lengths}):
+        found, earlier = _repeats_by_part(ngram_hashes(hashes, n))
+        if n == 5:
+            out["n_repeat_words"] = one(_covered(found, n, len(hashes)).sum())
+        if n in lengths:
+            out[f"dup_{n}"] = one(chars[_covered(earlier, n, len(hashes))].sum(dtype=np.int64))
+    del hashes, chars
+    line, size, inner = lines.all()
+    line, size, inner = line[inner > 0], size[inner > 0], inner[inner > 0]
+    _, earlier = _repeats_by_part(mix(line + seeds(1, 3) * size.astype(np.uint64)))
+    return out | {"n_dup_lines": one(earlier.sum()), "dup_line_chars": one(inner[earlier].sum(dtype=np.int64))}
+
+
 def quality_measures(docs: DataFrame, text_col: str = "text", lengths: tuple[int, ...] = tuple(NGRAM_LIMITS)) -> DataFrame:
     """The columns of ``docs`` and one struct ``_quality`` of counts per row.
 
@@ -124,9 +206,12 @@ def quality_measures(docs: DataFrame, text_col: str = "text", lengths: tuple[int
         for batch in batches:
             data, offsets = column_bytes(batch[raw])
             parts: dict[str, list[np.ndarray]] = {n: [np.zeros(0, np.int64)] for n in names}
-            for first, last in document_blocks(offsets):
+            for first, last in document_blocks(offsets, PIECE):
                 lo, hi = offsets[first], offsets[last]
-                got = measure(data[lo:hi], offsets[first : last + 1] - lo, lengths)
+                if last - first == 1 and hi - lo > 2 * PIECE:
+                    got = measure_long(data[lo:hi], lengths)
+                else:
+                    got = measure(data[lo:hi], offsets[first : last + 1] - lo, lengths)
                 for n in names:
                     parts[n].append(got[n])
             counts = pa.StructArray.from_arrays([pa.array(np.concatenate(parts[n]).astype(np.int64)) for n in names], names)

@@ -266,6 +266,39 @@ def test_drop_near_duplicates_odd_rows(spark):
 # --- quality rules -----------------------------------------------------------
 
 
+@pytest.mark.parametrize("piece", [7, 64, 300])
+def test_quality_of_long_texts_in_pieces(monkeypatch, piece):
+    """Cut at any byte, within words, lines and characters, the counts stay."""
+    rnd = random.Random(piece)
+    alphabet = ["uno", "dos", "árbol", "日本語", "x" * 40, "#", "a|b", "tres"]
+    texts = ["", " ", "\n\n", "w" * 500, "é" * 333, " lead and trail ", "a\n" * 60, ("same line here\n" * 9) + "same line here"]
+    texts += ["".join(rnd.choice(alphabet) + rnd.choice([" ", " ", "\n", "\t", "  ", "\r\n"]) for _ in range(rnd.randrange(1, 400))) for _ in range(40)]
+    lengths = (2, 3, 5, 8)
+    want = []
+    for t in texts:
+        data = np.frombuffer(t.encode(), np.uint8)
+        want.append({k: int(v[0]) for k, v in quality_rules.measure(data, np.array([0, len(data)]), lengths).items()})
+    monkeypatch.setattr(quality_rules, "PIECE", piece)
+    for t, w in zip(texts, want, strict=True):
+        if t:
+            assert {k: int(v[0]) for k, v in quality_rules.measure_long(np.frombuffer(t.encode(), np.uint8), lengths).items()} == w, t
+
+
+def test_quality_memory_of_a_long_text():
+    """20 MB of text take under 20 bytes a byte beside it."""
+    import tracemalloc
+
+    words = np.random.default_rng(5).integers(0, 1 << 20, 3_000_000)
+    data = np.frombuffer(" ".join(f"{w:06d}" for w in words).encode(), np.uint8)
+    quality_rules.measure_long(data[:100], (5,))
+    tracemalloc.start()
+    got = quality_rules.measure_long(data, tuple(quality_rules.NGRAM_LIMITS))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got["n_words"][0] == 3_000_000
+    assert peak < 20 * len(data), peak / len(data)
+
+
 def test_quality_counts_by_hand(spark):
     line = "one two three four five six"
     texts = [f"{line}\n{line}\n\n x # $", None, "é ñ\n é ñ", "Once upon a time there was a text with no repeats at all in it"]
