@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from almenara.llm.arrays import PIECE, column_bytes, document_blocks, mix, prefix_hashes, seeds, span_hashes, tokens_of
+from almenara.llm.arrays import PIECE, column_bytes, document_blocks, mix, pieces, prefix_hashes, seeds, span_hashes, tokens_of
 from almenara.llm.samples import labelled_ids
 from almenara.llm.tables import row_key, stored, text_bytes
 
@@ -38,38 +38,64 @@ def index_vectors() -> np.ndarray:
     return out
 
 
-def token_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of each token, and document edges. A token equal to the word before it becomes one common token."""
+def token_buckets(data: np.ndarray, offsets: np.ndarray, before: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket of each token, document edges, and the last token's hash.
+
+    A token equal to the word before it becomes one common token; ``before`` is
+    the hash of the token that stands before ``data``, if any does.
+    """
     starts, ends, kind = tokens_of(data, offsets)
     h = mix(span_hashes(prefix_hashes(data), starts, ends))
+    last = h[-1:].copy() if len(h) else np.zeros(0, np.uint64) if before is None else before
     edges = np.searchsorted(starts, offsets, side="left")
-    if len(h) > 1:
-        same = np.concatenate([[False], (h[1:] == h[:-1]) & (kind[1:] == 1)])
+    if len(h):
+        same = np.concatenate([[False], h[1:] == h[:-1]]) & (kind == 1)
         same[edges[:-1][edges[:-1] < len(h)]] = False
+        if before is not None and len(before):
+            same[0] = h[0] == before[0] and kind[0] == 1
         h[same] = seeds(1, 23)[0]
-    return (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), edges
+    return (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), edges, last
+
 
+def _long_blocks(data: np.ndarray) -> Iterator[tuple[np.ndarray, slice, bool]]:
+    """Token buckets of one long text in pieces cut at blanks, with the neighbours on either side.
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, int, bool]]:
-    """Token buckets and edges of runs of documents; a long text comes in pieces (flag: more of it follows)."""
+    The slice is the piece without them; the flag tells that more of it follows.
+    """
+    halo, held, last = np.zeros(0, np.int64), np.zeros(0, np.int64), None
+    for a, b in pieces(data, PIECE // 4):
+        buckets, _, last = token_buckets(data[a:b], np.array([0, b - a]), last)
+        if len(held) >= WINDOW and len(buckets) >= WINDOW:
+            yield np.concatenate([halo, held, buckets[:WINDOW]]), slice(len(halo), len(halo) + len(held)), True
+            halo, held = held[-WINDOW:], buckets
+        else:
+            held = np.concatenate([held, buckets])
+    yield np.concatenate([halo, held]), slice(len(halo), len(halo) + len(held)), False
+
+
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, int, slice, bool]]:
+    """Token buckets and edges of runs of documents; of a long text in pieces the slice leaves out the neighbours, and more follow where the flag says so."""
     data, offsets = column_bytes(batch["_text"])
     for first, last in document_blocks(offsets, PIECE // 4):
         lo, hi = int(offsets[first]), int(offsets[last])
-        if hi - lo <= PIECE:
-            yield *token_buckets(data[lo:hi], offsets[first : last + 1] - lo), last - first, False
+        if last - first > 1 or hi - lo <= PIECE:
+            buckets, edges, _ = token_buckets(data[lo:hi], offsets[first : last + 1] - lo)
+            yield buckets, edges, last - first, slice(0, len(buckets)), False
             continue
-        for a in range(lo, hi, PIECE // 4):
-            part = data[a : min(a + PIECE // 4, hi)]
-            yield *token_buckets(part, np.array([0, len(part)])), 1, a + PIECE // 4 < hi
+        for buckets, inner, more in _long_blocks(data[lo:hi]):
+            yield buckets, np.array([0, len(buckets)]), 1, inner, more
 
 
-def add_contexts(sums: np.ndarray, index: np.ndarray, buckets: np.ndarray, edges: np.ndarray) -> None:
-    """Adds each token's neighbours' index vectors to its bucket; neighbours are of the same document."""
+def add_contexts(sums: np.ndarray, index: np.ndarray, buckets: np.ndarray, edges: np.ndarray, inner: slice = slice(None)) -> None:
+    """Adds the neighbours' index vectors of each token in ``inner`` to its bucket; neighbours are of the same document."""
     gap = len(index) - 1
     doc = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
     spaced = np.full(len(buckets) + WINDOW * (len(edges) + 1), gap)
     at = np.arange(len(buckets)) + WINDOW * (doc + 1)
     spaced[at] = buckets
+    at, buckets = at[inner], buckets[inner]
+    if not len(buckets):
+        return
     vectors = index[spaced]
     context = sum(vectors[at + k] for k in (*range(-WINDOW, 0), *range(1, WINDOW + 1)))
     order = np.argsort(buckets, kind="stable")
@@ -85,9 +111,8 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, index = np.zeros((1 << BUCKET_BITS, DIMENSIONS)), index_vectors()
         for batch in batches:
-            for buckets, edges, _, _ in _blocks(batch):
-                if len(buckets):
-                    add_contexts(sums, index, buckets, edges)
+            for buckets, edges, _, inner, _ in _blocks(batch):
+                add_contexts(sums, index, buckets, edges, inner)
         yield rows_of({i: sums[i * _ROWS : (i + 1) * _ROWS] for i in range(len(sums) // _ROWS)}, np.float32)
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +151,10 @@ def document_features(docs: DataFrame, vectors: np.ndarray, id_col: str = "doc_i
         for batch in batches:
             out = [np.zeros((0, FEATURES), np.float32)]
             carried = np.zeros((1, 2 * DIMENSIONS + 1))
-            for buckets, edges, n, more in _blocks(batch):
+            for buckets, edges, n, inner, more in _blocks(batch):
+                if n == 1:
+                    buckets = buckets[inner]
+                    edges = np.array([0, len(buckets)])
                 total = np.zeros((n, 2 * DIMENSIONS + 1))
                 count = np.diff(edges)
                 held = np.flatnonzero(count)
@@ -212,7 +240,9 @@ def train_network(x: np.ndarray, y: np.ndarray, hidden: int = 16, epochs: int =
 def fit_quality(features: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", per_class: int = 8000) -> Network:
     """Network from at most ``per_class`` labelled documents of each label; ``labels`` holds the rows to learn from."""
     chosen = F.broadcast(labelled_ids(labels, id_col, label_col, per_class))  # at most 2 * per_class numbers
-    got = features.join(chosen, F.col("_id") == F.col("_label_id")).select("_id", "_key", "_label", "_features").toArrow().sort_by([("_key", "ascending")])
+    labelled = features.join(chosen, F.col("_id") == F.col("_label_id"))
+    one_each = labelled.groupBy("_id").agg(F.min(F.struct("_key", "_label", "_features")).alias("_one"))  # an id may repeat
+    got = one_each.select("_one.*").toArrow().sort_by([("_key", "ascending")])
     x = np.array([np.frombuffer(f, np.float32) for f in got["_features"].to_pylist()], np.float64).reshape(-1, FEATURES)
     return train_network(x, np.array(got["_label"].to_pylist(), np.int64))
 

@@ -525,6 +525,28 @@ def test_noisy_or():
     assert toxicity.noisy_or(p, np.array([0, 2, 3, 4])).round(6).tolist() == [0.75, 0.1, 0.0]
 
 
+def test_classifier_cuts_long_texts_at_blanks(monkeypatch):
+    """Vectors and features of a text in pieces are those of the whole text."""
+    rnd = random.Random(3)
+    words = ["one", "two", "two", "three", "x-y", "ñandú", "(four)", "long" * 30]
+    texts = [" ".join(rnd.choice(words) for _ in range(n)) for n in (300, 3, 900, 1, 450)] + ["", "nogap" * 200, " " * 900, "a " * 600]
+    batch = pa.record_batch([pa.array([t.encode() for t in texts], pa.binary())], names=["_text"])
+    index = quality_classifier.index_vectors()
+
+    def results():
+        sums, tokens = np.zeros((len(index) - 1, quality_classifier.DIMENSIONS)), []
+        for buckets, edges, n, inner, more in quality_classifier._blocks(batch):
+            quality_classifier.add_contexts(sums, index, buckets, edges, inner)
+            tokens.append(buckets[inner])
+        return sums, np.concatenate(tokens), len(tokens)
+
+    sums, tokens, parts = results()
+    for size in (64, 256, 1000):
+        monkeypatch.setattr(quality_classifier, "PIECE", size)
+        again, same, more = results()
+        assert more > parts and (same == tokens).all() and np.allclose(again, sums)
+
+
 def test_quality_scores_odd_rows(spark):
     texts = ["THE!! LOUD!! WORDS!! ARE!! HERE!!", "a calm text of common words"] * 40 + odd_texts()
     docs = frame(spark, texts)
