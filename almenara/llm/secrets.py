@@ -1,7 +1,9 @@
 """Secret scans: a random forest removes false positives from candidate strings.
 
 DataFrame operations and Spark's own forest only. Candidates are long runs of
-key-like characters; the text between them gives each its neighbouring words.
+key-like characters, values of 8 characters or more assigned to a credential's
+name, and passwords before the host of an address; the text between them gives
+each its neighbouring words.
 The dictionary and the letter transitions are counted over all documents. The
 forest is trained from labelled findings, at most so many of each label.
 """
@@ -18,9 +20,13 @@ from pyspark.sql import functions as F
 
 from almenara.llm.tables import row_key, stored
 
-CANDIDATE = r"[A-Za-z0-9_+/-]{16,}"
+_NAMES = r"pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer"
+#: the cheap look back at an assignment comes first, the names only behind it
+_VALUE = rf"(?<=[=:]\s{{0,3}}[\"']?)(?<=(?i:{_NAMES})[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?)[^\s\"'`<>,;(){{}}\[\]]{{8,}}"
+_LOGIN = r"(?<=:)(?<=[A-Za-z0-9._-]{1,32}:)[^\s\"'`<>:@/]{8,64}(?=@[A-Za-z0-9])"
+CANDIDATE = rf"{_VALUE}|{_LOGIN}|[A-Za-z0-9_+/-]{{16,}}"
 _CONTEXT = 40
-_CREDENTIAL = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer)\W{0,4}$"
+_CREDENTIAL = rf"(?i)(?:{_NAMES})\W{{0,8}}$"
 _ASSIGNED = r"[=:]\s*[\"']?$"
 _PLACEHOLDER = r"(?i)(example|sample|dummy|placeholder|changeme|xxxx|test|fake|redacted)"
 _PATH = r"(?i)(test|spec|fixture|example|sample|mock|doc)"
@@ -89,7 +95,7 @@ def featured(found: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
         "distinct": F.size(F.array_distinct(F.split(v, ""))) / n,
         "switches": share("[a-z](?=[A-Z0-9])|[A-Z](?=[a-z0-9])|[0-9](?=[A-Za-z])"),
         "assigned": flag("_before", _ASSIGNED),
-        "credential": flag("_before", _CREDENTIAL),
+        "credential": F.greatest(flag("_before", _CREDENTIAL), _login().cast("double")),
         "quoted": flag("_before", "[\"']$"),
         "placeholder": F.greatest(flag("_value", _PLACEHOLDER), flag("_before", _PLACEHOLDER)),
         "test_path": flag("_path", _PATH),
@@ -98,18 +104,23 @@ def featured(found: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
     })
 
 
+def _login() -> Column:
+    """Whether a candidate stands between a user's name and a host."""
+    return F.col("_before").rlike("[A-Za-z0-9._-]:$") & F.col("_after").rlike("^@[A-Za-z0-9]")
+
+
 def weak_labels(found: DataFrame) -> DataFrame:
     """Labelled findings (``_value``, ``_label``) where rules of high precision decide.
 
     1: a provider's key format, or a value with letters and digits assigned to
-    a credential name, and no placeholder. 0: runs without digits, runs of
+    a credential name or standing before an address's host, and no placeholder. 0: runs without digits, runs of
     digits only, placeholders. All others stay unlabelled. A value that rules
     label both ways is 1.
     """
     v = F.col("_value")
     placeholder = v.rlike(_PLACEHOLDER)
     mixed = v.rlike("[0-9]") & v.rlike("[A-Za-z]")
-    label = F.when(placeholder, 0).when(v.rlike(_PROVIDER) | (mixed & F.col("_before").rlike(_CREDENTIAL)), 1).when(~mixed, 0)
+    label = F.when(placeholder, 0).when(v.rlike(_PROVIDER) | (mixed & (F.col("_before").rlike(_CREDENTIAL) | _login())), 1).when(~mixed, 0)
     return found.select("_value", label.alias("_label")).where("_label IS NOT NULL").groupBy("_value").agg(F.max("_label").alias("_label"))
 
 

@@ -605,3 +605,24 @@ def test_secret_candidates_and_redaction(spark):
     assert secrets.scan_secrets(frame(spark, [])).count() == 0
     only = secrets.scan_secrets(docs, findings=spark.createDataFrame([(key, 1)], "_value string, _label int")).collect()
     assert {r._score for r in only} == {0.75}  # one value, of one label
+
+
+def test_short_and_punctuated_secrets_are_candidates(spark):
+    texts = ["password=Tr0ub4dor&3x!", "see https://user:pa55w0rd@host/x now", 'api_key = "abc123def456"', '{"token": "s3cr3t.v4lue"}', "PWD:\t'hunter2hunter2'", "password=short7", "time: 12:30:45 and key = 12345678", "passwords are long words", "a:b@c and mail bob@example.org"]
+    found = secrets.candidates(frame(spark, texts), "doc_id", "text", "source").collect()
+    got = {r._id: r._value for r in found}
+    assert got == {0: "Tr0ub4dor&3x!", 1: "pa55w0rd", 2: "abc123def456", 3: "s3cr3t.v4lue", 4: "hunter2hunter2"}
+    labels = {r._value: r._label for r in secrets.weak_labels(spark.createDataFrame(found)).collect()}
+    assert labels == dict.fromkeys(got.values(), 1)
+
+
+def test_false_positives_go_by_labelled_findings(spark):
+    """The forest learns from findings that revision hashes are none; on values it has not seen few remain."""
+    code = lambda kind, i: hashlib.sha1(f"{kind}{i}".encode()).hexdigest()[: 24 + i % 17]
+    rows = [(f"commit {code('c', i)} merged" if i % 2 else f'key = "{code("k", i)}"') + " by them" for i in range(400)]
+    docs = frame(spark, rows)
+    findings = spark.createDataFrame([(code("c", i), 0) if i % 2 else (code("k", i), 1) for i in range(200)], "_value string, _label int")
+    scanned = {r._id: r._secret for r in secrets.scan_secrets(docs, findings).collect()}
+    unseen = range(200, 400)
+    assert sum(scanned[i] for i in unseen if i % 2) <= 2, "false positives"
+    assert sum(scanned[i] for i in unseen if i % 2 == 0) >= 98
