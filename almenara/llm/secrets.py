@@ -23,7 +23,7 @@ from almenara.llm.tables import row_key, stored
 _NAMES = r"pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer"
 #: the cheap look back at an assignment comes first, the names only behind it
 _VALUE = rf"(?<=[=:]\s{{0,3}}[\"']?)(?<=(?i:{_NAMES})[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?)[^\s\"'`<>,;(){{}}\[\]]{{8,}}"
-_LOGIN = r"(?<=:)(?<=[A-Za-z0-9._-]{1,32}:)[^\s\"'`<>:@/]{8,64}(?=@[A-Za-z0-9])"
+_LOGIN = r"(?<=[A-Za-z0-9._-]:)[^\s\"'`<>:@/]{8,64}(?=@[A-Za-z0-9])"
 CANDIDATE = rf"{_VALUE}|{_LOGIN}|[A-Za-z0-9_+/-]{{16,}}"
 _CONTEXT = 40
 _CREDENTIAL = rf"(?i)(?:{_NAMES})\W{{0,8}}$"
