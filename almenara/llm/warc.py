@@ -234,11 +234,14 @@ def resolve_revisits(chunks: DataFrame) -> DataFrame:
 
     The last chunk of a record carries its length and digest. A revisit takes
     both from the response that it refers to and whose digest it declares;
-    they are null if the archives lack that response.
+    they are null if the archives lack that response. The last chunks' rows are
+    stored, so that the archives are parsed once, and so are the responses: a
+    page that many others repeat is a hot key, which only a join of two plain
+    shuffles splits.
     """
-    records = chunks.where("last").select("record_id", "record_type", "refers_to", "declared_digest", "payload_end", "sha1")
+    records = stored(chunks.where("last").select("record_id", "record_type", "refers_to", "declared_digest", "payload_end", "sha1"), "records")
     revisit = F.col("record_type") == "revisit"
-    responses = records.where(~revisit).select(F.col("record_id").alias("_r"), F.col("sha1").alias("_s"), F.col("payload_end").alias("_n")).distinct()
+    responses = stored(records.where(~revisit).select(F.col("record_id").alias("_r"), F.col("sha1").alias("_s"), F.col("payload_end").alias("_n")).distinct(), "responses")
     found = records.where(revisit).join(responses, (F.col("refers_to") == F.col("_r")) & (F.col("declared_digest") == F.col("_s")), "left")
     columns = ["record_id", "record_type", "refers_to"]
     return found.select(*columns, F.col("_n").alias("payload_bytes"), F.col("_s").alias("payload_digest")).unionByName(
