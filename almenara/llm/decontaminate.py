@@ -160,16 +160,22 @@ def solve(n: int, frequency: np.ndarray, sketch: np.ndarray, test: np.ndarray) -
     idf = np.where(frequency > 0, np.log((n + 1) / np.maximum(frequency, 1)), 0.0)
     seen = idf > 0
     y, w = idf[:, None] * sketch, np.where(seen, 1 / np.where(seen, idf, 1), 0)[:, None].astype(np.float32) * test
-    shift = 1e-6 * np.sqrt((y**2).sum()) + 1e-12
-    y += shift * w
-    small = w.T @ y
+    shift = 1e-6 * np.sqrt(np.einsum("ij,ij->", y, y)) + 1e-12
+    small = np.zeros((y.shape[1],) * 2)
+    for at in range(0, len(y), _PART):  # parts, so that no second table in double precision is made
+        y[at : at + _PART] += shift * w[at : at + _PART]
+        small += w[at : at + _PART].T @ y[at : at + _PART]
     del w
     values, basis = np.linalg.eigh((small + small.T) / 2)
     keep = values > values.max(initial=0) * 1e-10
     half = y @ (basis[:, keep] / np.sqrt(values[keep]))
     del y
-    left, singular, _ = np.linalg.svd(half, full_matrices=False)
-    return Space(idf, left[:, :RANK], np.sqrt(np.maximum(singular[:RANK] ** 2 - shift, 0)))
+    # singular vectors by way of the small Gram matrix, largest first
+    squares, turn = np.linalg.eigh(half.T @ half)
+    squares, turn = np.maximum(squares[::-1][:RANK], 0), turn[:, ::-1][:, :RANK]
+    turn /= np.sqrt(np.where(squares > 1e-14 * squares.max(initial=0), squares, np.inf))
+    left = half @ turn
+    return Space(idf, left, np.sqrt(np.maximum(squares - shift, 0)))
 
 
 def latent_space(docs: DataFrame, text_col: str = "text") -> Space:
@@ -208,13 +214,14 @@ def latent_space(docs: DataFrame, text_col: str = "text") -> Space:
 
     partial = docs.select(lower_text(text_col).cast("binary").alias("_text")).mapInArrow(gather, kind).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(16)))
     got = partial.repartition("part", "salt").select("part", "sums").mapInArrow(combine, kind).repartition("part").mapInArrow(combine, kind).toArrow()
-    sums, n = np.zeros((1 << TERM_BITS, width)), 0
-    for part, value in zip(got["part"].to_pylist(), got["sums"].to_pylist(), strict=True):
+    sums, n = np.zeros((1 << TERM_BITS, width), np.float32), 0
+    for part, value in zip(got["part"].to_pylist(), got["sums"], strict=True):
         if part < 0:
-            n = int(unpack(part, value)[0, 0])
+            n = int(unpack(part, value.as_py())[0, 0])
         else:
-            sums[part * _PART : (part + 1) * _PART] = unpack(part, value)
-    return solve(n, sums[:, -1], sums[:, :-1], test_matrix())
+            sums[part * _PART : (part + 1) * _PART] = unpack(part, value.as_py())
+    del got
+    return solve(n, sums[:, -1].astype(np.float64), sums[:, :-1], test_matrix())
 
 
 @dataclass
