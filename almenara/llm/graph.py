@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from almenara.llm.tables import release, stored
 
 
+def _settled(links: DataFrame) -> bool:
+    """Whether every node has one link, to a node that has none of its own: one count, no join."""
+    ends = links.select("a", F.lit(1).alias("out"), F.lit(0).alias("into")).union(links.select("b", F.lit(0), F.lit(1)))
+    return ends.groupBy("a").agg(F.sum("out").alias("out"), F.sum("into").alias("into")).where("out > 1 OR (out > 0 AND into > 0)").isEmpty()
+
+
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Smallest reachable node (``root``) of every ``node`` in ``links`` (``a``, ``b``).
 
@@ -21,20 +27,17 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     clean = links.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
     now = stored(clean.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     for _ in range(max_rounds):
+        if _settled(now):
+            break
         both = now.union(now.select("b", "a"))
         least = stored(both.groupBy("a").agg(F.min("b").alias("m")), "least")
         large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
         large = stored(large.where("a <> b").distinct(), "large")
         low = stored(large.groupBy("a").agg(F.min("b").alias("m")), "low")
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
-        after = stored(small.where("a <> b").distinct(), "links")
-        # finished when every node has one link, to a node that has none of its own
-        parents = after.select(F.col("b").alias("a")).distinct()
-        loose = after.groupBy("a").count().where("count > 1").select("a").union(after.select("a").join(parents, "a", "left_semi"))
-        now = after
+        now = stored(small.where("a <> b").distinct(), "links")
         release(links.sparkSession)
-        if loose.isEmpty():
-            break
     else:
-        raise RuntimeError(f"components not settled after {max_rounds} rounds")
+        if not _settled(now):
+            raise RuntimeError(f"components not settled after {max_rounds} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -318,8 +318,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # keys that are still open get leaders of their own, another under every key
     own_leads = stored(members.groupBy("_index").agg(F.min(F.struct(F.xxhash64("_node", "_index").alias("h"), F.col("_node").alias("n"), F.col("_root").alias("r"))).alias("_l")), "own-leads")
     across = members.join(own_leads, "_index").where("_root <> _l.r").select(F.least("_node", "_l.n").alias("a"), F.greatest("_node", "_l.n").alias("b")).distinct()
-    links = links.union(stored(_linked(_close(across, nodes, percent), texts, shingle_words, percent), "own-links"))
-    roots = components(links)
+    # every node's link to its root stands for the links found so far
+    held = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = components(held.union(_linked(_close(across, nodes, percent), texts, shingle_words, percent)))
     members = _open_members(members.drop("_root", "_n", "_sig"), nodes, roots)
     flagged = stored(_across(members, percent, flags_only=True), "flagged")
     sketches = stored(_sketched(texts.join(flagged, "_node"), shingle_words), "sketches")
