@@ -46,6 +46,7 @@ PASSAGE = 32
 #: words of a step and of a compared window; windows begin at every step
 STEP, WINDOW = 8, 16
 _PART = 1024  # terms in one row of partial sums
+_KINDS = np.int8, np.int16, np.float32  # of numbers in partial sums; rows of zeros are left out
 #: items that tasks hold at a time
 BLOCK = 4096
 
@@ -178,11 +179,30 @@ def solve(n: int, frequency: np.ndarray, sketch: np.ndarray, test: np.ndarray) -
     return Space(idf, left, np.sqrt(np.maximum(squares - shift, 0)))
 
 
+def pack(sums: np.ndarray) -> bytes:
+    """Rows of whole numbers, each in the narrowest of four kinds that holds it; single precision is the widest."""
+    most = np.abs(sums).max(axis=1, initial=0)
+    kind = np.searchsorted([0, 127, 32767], most).astype(np.uint8)
+    return kind.tobytes() + b"".join(sums[kind == k].astype(t).tobytes() for k, t in enumerate(_KINDS, 1))
+
+
+def unpack(value: bytes, width: int) -> np.ndarray:
+    """Rows of ``pack`` in double precision."""
+    kind = np.frombuffer(value, np.uint8, _PART)
+    out, at = np.zeros((_PART, width)), _PART
+    for k, t in enumerate(_KINDS, 1):
+        rows = np.flatnonzero(kind == k)
+        out[rows] = np.frombuffer(value, t, len(rows) * width, at).reshape(-1, width)
+        at += len(rows) * width * np.dtype(t).itemsize
+    return out
+
+
 def latent_space(docs: DataFrame, text_col: str = "text") -> Space:
     """Randomised SVD of the TF-IDF passages of all documents.
 
-    Sums of a task are 2**15 terms by 64 numbers, whatever its input; they are
-    combined in two steps over parts of the terms.
+    Sums of a task are 2**15 terms by 64 whole numbers at most; they are combined
+    in two steps over parts of the terms. Terms that the task has not seen are not
+    sent, small numbers in one or two bytes.
     """
     width = RANK + EXTRA + 1
     kind = "part int, sums binary"
@@ -201,15 +221,12 @@ def latent_space(docs: DataFrame, text_col: str = "text") -> Space:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, value in zip(batch["part"].to_pylist(), batch["sums"], strict=True):
-                x = unpack(part, value.as_py())
+                x = np.frombuffer(value.as_py(), np.float64).reshape(1, 1) if part < 0 else unpack(value.as_py(), width)
                 held[part] = held[part] + x if part in held else x
         yield rows(held)
 
-    def unpack(part: int, value: bytes) -> np.ndarray:
-        return np.frombuffer(value, np.float64).reshape(1, 1) if part < 0 else np.frombuffer(value, np.float32).astype(np.float64).reshape(_PART, width)
-
     def rows(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
-        packed = [x.astype(np.float64 if i < 0 else np.float32).tobytes() for i, x in parts.items()]
+        packed = [x.tobytes() if i < 0 else pack(x) for i, x in parts.items()]
         return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array(packed, pa.binary())], names=["part", "sums"])
 
     partial = docs.select(lower_text(text_col).cast("binary").alias("_text")).mapInArrow(gather, kind).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(16)))
@@ -217,9 +234,9 @@ def latent_space(docs: DataFrame, text_col: str = "text") -> Space:
     sums, n = np.zeros((1 << TERM_BITS, width), np.float32), 0
     for part, value in zip(got["part"].to_pylist(), got["sums"], strict=True):
         if part < 0:
-            n = int(unpack(part, value.as_py())[0, 0])
+            n = int(np.frombuffer(value.as_py(), np.float64)[0])
         else:
-            sums[part * _PART : (part + 1) * _PART] = unpack(part, value.as_py())
+            sums[part * _PART : (part + 1) * _PART] = unpack(value.as_py(), width)
     del got
     return solve(n, sums[:, -1].astype(np.float64), sums[:, :-1], test_matrix())
 

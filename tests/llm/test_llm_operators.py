@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from almenara.llm import decontaminate, graph, line_dedup, mixing, near_dup, quality_classifier, quality_rules, samples, secrets, suffix_dedup, toxicity, warc
-from almenara.llm.arrays import ngram_hashes, word_hashes
+from almenara.llm.arrays import mix, ngram_hashes, word_hashes
 from almenara.session import scratch_folder
 from tests.llm.cases import frame, near_components, odd_texts, random_texts, repeated_bytes, runs, shingles, words
 
@@ -413,6 +413,23 @@ def test_singular_values_near_exact_ones():
     assert np.allclose(space.vectors.T @ space.vectors, np.eye(space.vectors.shape[1]), atol=1e-6)
 
 
+def test_partial_sums_are_packed_without_loss():
+    """A small task sends a small part of its table, which has 8.5 MB in single precision."""
+    rnd = np.random.default_rng(6)
+    words_ = mix(rnd.integers(0, 3000, 100_000).astype(np.uint64))
+    words_[::3] = words_[0]  # a frequent word
+    test = decontaminate.test_matrix()
+    frequency, sketch = np.zeros(len(test)), np.zeros(test.shape, np.float32)
+    decontaminate.sketch_block(words_, np.array([0, 40_000, 100_000]), test, frequency, sketch)
+    sums = np.concatenate([sketch, frequency[:, None]], axis=1)
+    sums[7, 3] = 40_000  # each kind of number
+    parts = [sums[at : at + 1024] for at in range(0, len(sums), 1024)]
+    packed = [decontaminate.pack(x) for x in parts]
+    assert sum(map(len, packed)) < 600_000
+    assert all((decontaminate.unpack(p, 65) == x).all() for p, x in zip(packed, parts, strict=True))
+    assert len(decontaminate.pack(np.zeros((1024, 65)))) == 1024
+
+
 def test_leaks_reworded_and_odd(spark):
     rnd = random.Random(5)
     vocab = [f"word{i}" for i in range(300)]
