@@ -90,15 +90,19 @@ def _steps(words: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return edges[doc] + inner * STEP, doc
 
 
-def row_sums(table: np.ndarray, index: np.ndarray, begin: np.ndarray, size: np.ndarray, most: int) -> np.ndarray:
-    """Sum of ``table[index]`` over runs of at most ``most`` entries, one place in the runs at a time."""
-    out = table[index[begin]]
-    for k in range(1, most):
-        on = size > k
-        if on.all():
-            out += table[index[begin + k]]
-        else:
-            out[on] += table[index[begin[on] + k]]
+def row_sums(table: np.ndarray, index: np.ndarray, begin: np.ndarray, size: np.ndarray, most: int, rows: int = 512) -> np.ndarray:
+    """Sum of ``table[index]`` over runs of at most ``most`` entries, one place in the runs at a time; ``rows`` runs in one step."""
+    out = np.empty((len(begin), table.shape[1]), table.dtype)
+    for at in range(0, len(begin), rows):
+        first, n = begin[at : at + rows], size[at : at + rows]
+        sums = table.take(index[first], axis=0)
+        for k in range(1, most):
+            on = n > k
+            if on.all():
+                sums += table.take(index[first + k], axis=0)
+            else:
+                sums[on] += table.take(index[first[on] + k], axis=0)
+        out[at : at + rows] = sums
     return out
 
 
@@ -117,7 +121,7 @@ def sketch_block(words: np.ndarray, edges: np.ndarray, test: np.ndarray, frequen
     begin = edges[doc] + inner * PASSAGE
     size = np.diff(np.append(begin, len(words)))
     passage = np.repeat(np.arange(len(begin)), size)
-    projected = row_sums(test, term, begin, size, PASSAGE)
+    projected = row_sums(test.astype(np.int8), term, begin, size, PASSAGE).astype(np.float32)  # signs: no sum is over PASSAGE
     order = np.argsort(term.astype(np.uint16), kind="stable")  # a radix sort
     t, p = term[order], passage[order]
     firsts = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
@@ -153,7 +157,7 @@ class Space:
         """Latent vector of each term, all directions weighing the same."""
         used = self.values > 1e-6 * self.values.max(initial=0)
         used[:SKIP] = used.sum() <= 2 * SKIP  # in tiny tables all directions count
-        return (self.idf[:, None] * self.vectors[:, used] / self.values[used]).astype(np.float32)
+        return np.ascontiguousarray(self.idf[:, None] * self.vectors[:, used] / self.values[used], np.float32)  # rows are gathered
 
 
 def solve(n: int, frequency: np.ndarray, sketch: np.ndarray, test: np.ndarray) -> Space:
@@ -313,24 +317,28 @@ def benchmark_items(ids: list, texts: list[str | None], term_vectors: np.ndarray
     return Items(kept, words, windows, vectors, rare, np.append(firsts, len(hashes)), holders[order], np.array([k for _, k in picked], np.int64), rare_terms)
 
 
-def candidates(windows: np.ndarray, bench: Items, cosine: float, rows: int = 4096) -> tuple[np.ndarray, ...]:
+def candidates(windows: np.ndarray, bench: Items, cosine: float, rows: int = 1024) -> tuple[np.ndarray, ...]:
     """Window, item and average cosine where an item's windows, side by side, agree with the text's."""
     found = []
     apart = WINDOW // STEP
     reach = apart * (len(bench.vectors) - 1)
+    order = np.argsort(-bench.windows, kind="stable")  # the items with a k-th window come first
+    sides = []
+    for who, vectors in bench.vectors:
+        held = order[: len(who)]
+        sides.append(np.ascontiguousarray(vectors[np.searchsorted(who, held)].T))
+    share = bench.windows[order].astype(np.float32)
     for at in range(0, len(windows), rows):
         part = windows[at : at + rows + reach]
         n = min(rows, len(part))
-        total = np.zeros((n, len(bench.ids)), np.float32)
-        for k, (who, vectors) in enumerate(bench.vectors):
+        total = part[:n] @ sides[0]
+        for k, vectors in enumerate(sides[1:], 1):
             here = part[apart * k : apart * k + n]
-            if len(who) == total.shape[1]:
-                total[: len(here)] += here @ vectors.T
-            elif len(here):
-                total[: len(here), who] += here @ vectors.T
-        total /= bench.windows.astype(np.float32)
-        w, i = np.nonzero(total >= cosine)
-        found.append((w + at, i, total[w, i]))
+            total[: len(here), : vectors.shape[1]] += here @ vectors
+        total /= share
+        at_once = np.flatnonzero(total >= cosine)
+        w, i = at_once // len(order), at_once % len(order)
+        found.append((w + at, order[i], total.ravel()[at_once]))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
 
 
@@ -380,37 +388,63 @@ def agreement(windows: np.ndarray, window: np.ndarray, i: int, bench: Items) ->
     return total / bench.windows[i]
 
 
+def word_places(pattern: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """The pattern's words, sorted, and of each the places where it stands, as bits."""
+    known, word = np.unique(pattern, return_inverse=True)
+    bits = [0] * len(known)
+    for j, w in enumerate(word.tolist()):
+        bits[w] |= 1 << j
+    return known, bits
+
+
+def marked(places: tuple[np.ndarray, list[int]], text: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """Of each word of ``text`` its places in a pattern of at most 63 words; none where ``inside`` is false."""
+    known, bits = places
+    place = np.minimum(np.searchsorted(known, text), len(known) - 1)
+    return np.where(inside & (known[place] == text), np.array(bits, np.uint64)[place], np.uint64(0))
+
+
+def matched(marks: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Longest common subsequence of each row of ``marks`` with its own pattern of ``sizes`` words: length, words in the last fifth."""
+    sizes = sizes.astype(np.uint64)
+    full = (np.uint64(1) << sizes) - np.uint64(1)
+    row = full.copy()
+    for mark in np.ascontiguousarray(marks.T):
+        u = row & mark
+        row = (row + u) | (row - u)
+    held = ~row & full
+    tail = np.maximum(np.uint64(1), sizes // np.uint64(5))
+    return np.bitwise_count(held).astype(np.int64), np.bitwise_count(held >> (sizes - tail)).astype(np.int64)
+
+
+def matched_long(pattern: np.ndarray, text: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for one pattern of any length, in Python's long integers."""
+    known, bits = word_places(pattern)
+    place = np.minimum(np.searchsorted(known, text), len(known) - 1)
+    hits = inside & (known[place] == text)
+    full = (1 << len(pattern)) - 1
+    tail = max(1, len(pattern) // 5)
+    lengths, tails = [], []
+    for words, hit in zip(place, hits, strict=True):
+        row = full
+        for p in words[hit]:
+            u = row & bits[p]
+            row = ((row + u) | (row - u)) & full
+        lengths.append((~row & full).bit_count())
+        tails.append(((~row & full) >> (len(pattern) - tail)).bit_count())
+    return np.array(lengths, np.int64), np.array(tails, np.int64)
+
+
 def common_subsequence(pattern: np.ndarray, text: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Longest common subsequence of ``pattern`` with every row of ``text``; ``inside`` marks its words.
 
     Returns the length, and how many of its words are in the pattern's last
     fifth. Bit-parallel: a set bit is a pattern word that does not lengthen the
-    subsequence. Patterns over 63 words take Python's long integers.
+    subsequence.
     """
-    known = np.unique(pattern)
-    place = np.minimum(np.searchsorted(known, text), len(known) - 1)
-    hits = inside & (known[place] == text)
-    masks = [sum(1 << int(j) for j in np.flatnonzero(pattern == w)) for w in known]
-    long = len(pattern) > 63
-    full = (1 << len(pattern)) - 1
-    tail = max(1, len(pattern) // 5)
-    if long:
-        lengths, tails = [], []
-        for words, hit in zip(place, hits, strict=True):
-            row = full
-            for p in words[hit]:
-                u = row & masks[p]
-                row = ((row + u) | (row - u)) & full
-            lengths.append((~row & full).bit_count())
-            tails.append(((~row & full) >> (len(pattern) - tail)).bit_count())
-        return np.array(lengths, np.int64), np.array(tails, np.int64)
-    table = np.array(masks, np.uint64)
-    row = np.full(len(text), full, np.uint64)
-    for t in range(text.shape[1]):
-        u = row & np.where(hits[:, t], table[place[:, t]], np.uint64(0))
-        row = (row + u) | (row - u)
-    matched = ~row & np.uint64(full)
-    return np.bitwise_count(matched).astype(np.int64), np.bitwise_count(matched >> np.uint64(len(pattern) - tail)).astype(np.int64)
+    if len(pattern) > 63:
+        return matched_long(pattern, text, inside)
+    return matched(marked(word_places(pattern), text, inside), np.full(len(text), len(pattern)))
 
 
 def longest_run(pattern: np.ndarray, text: np.ndarray, inside: np.ndarray) -> np.ndarray:
@@ -500,11 +534,19 @@ def _leaks_of(source: DataFrame, found: Items, vectors: np.ndarray, item_kind: D
         alike = np.unique(item * len(doc) + window)
         both = np.union1d(alike, of * len(doc) + more)
         item, window, near = both // len(doc), both % len(doc), np.isin(both, alike, assume_unique=True)
+        waiting, rows = [], 0
         for i in np.unique(item):
             a, b = np.searchsorted(item, [i, i + 1])
-            yield from check(words, term, edges, begin, doc, windows, window[a:b], near[a:b], int(i), bench)
-
-    def check(words, term, edges, begin, doc, windows, window, near, i, bench) -> Iterator[tuple]:
+            for part in around(words, term, edges, begin, doc, window[a:b], near[a:b], int(i), bench):
+                waiting.append(part)
+                rows += len(part[1])
+            if rows > 8192:
+                yield from check(words, edges, begin, doc, windows, waiting, bench)
+                waiting, rows = [], 0
+        yield from check(words, edges, begin, doc, windows, waiting, bench)
+
+    def around(words, term, edges, begin, doc, window, near, i, bench) -> Iterator[tuple]:
+        """Item, windows, whether by cosine, words around them and which are the document's, where enough are the item's."""
         pattern = bench.words[i]
         known = np.zeros(1 << TERM_BITS, bool)
         known[terms(pattern)] = True
@@ -515,9 +557,28 @@ def _leaks_of(source: DataFrame, found: Items, vectors: np.ndarray, item_kind: D
             place = np.clip(place, 0, len(words) - 1)
             # no subsequence is longer than the number of the pattern's words there
             enough = (known[term[place]] & inside).sum(axis=1) >= np.where(alike, loose_share, share) * len(pattern)
-            w, alike = w[enough], alike[enough]
-            text, inside = words[place[enough]], inside[enough]
-            length, tail = common_subsequence(pattern, text, inside)
+            if enough.any():
+                yield i, w[enough], alike[enough], words[place[enough]], inside[enough]
+
+    def subsequences(waiting: list[tuple], bench: Items) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each part length and words of the last fifth; patterns of at most 63 words all at once."""
+        out = [matched_long(bench.words[i], text, inside) if len(bench.words[i]) > 63 else None for i, _, _, text, inside in waiting]
+        short = [k for k, done in enumerate(out) if done is None]
+        if short:
+            upto = np.cumsum([0, *(len(waiting[k][1]) for k in short)])
+            marks = np.zeros((upto[-1], max(waiting[k][3].shape[1] for k in short)), np.uint64)
+            for k, a, b in zip(short, upto[:-1], upto[1:], strict=True):
+                i, _, _, text, inside = waiting[k]
+                marks[a:b, : text.shape[1]] = marked(word_places(bench.words[i]), text, inside)
+            sizes = np.repeat([len(bench.words[waiting[k][0]]) for k in short], np.diff(upto))
+            length, tail = matched(marks, sizes)
+            for k, a, b in zip(short, upto[:-1], upto[1:], strict=True):
+                out[k] = length[a:b], tail[a:b]
+        return out
+
+    def check(words, edges, begin, doc, windows, waiting, bench) -> Iterator[tuple]:
+        for (i, w, alike, text, inside), (length, tail) in zip(waiting, subsequences(waiting, bench), strict=True):
+            pattern = bench.words[i]
             whole, answer = length / len(pattern), tail / max(1, len(pattern) // 5)
             good = whole >= (share if len(pattern) >= 5 else 1.0)
             sure = (answer >= answer_share) | (whole >= whole_share)
@@ -527,6 +588,8 @@ def _leaks_of(source: DataFrame, found: Items, vectors: np.ndarray, item_kind: D
                 sure[part] = longest_run(pattern, text[part], inside[part]) >= share * len(pattern)
             reworded = alike & (whole >= loose_share) & (answer >= loose_answer) & (len(pattern) >= 5)
             held = np.flatnonzero((good & sure) | reworded)
+            if not len(held):
+                continue
             score = dict(zip(held, agreement(windows, w[held], i, bench), strict=True))
             for k in held:
                 d = int(doc[w[k]])

@@ -430,6 +430,21 @@ def test_partial_sums_are_packed_without_loss():
     assert len(decontaminate.pack(np.zeros((1024, 65)))) == 1024
 
 
+def test_many_patterns_at_once():
+    """Rows of different patterns get the subsequence with their own; what is gathered by rows lies in rows."""
+    rnd = np.random.default_rng(14)
+    marks, want = np.zeros((60, 80), np.uint64), []
+    sizes = rnd.integers(1, 64, 60)
+    for row, size in enumerate(sizes):
+        pattern, text = rnd.integers(0, 9, size).astype(np.uint64), rnd.integers(0, 12, (1, rnd.integers(1, 80))).astype(np.uint64)
+        inside = rnd.random(text.shape) < 0.9
+        marks[row, : text.shape[1]] = decontaminate.marked(decontaminate.word_places(pattern), text, inside)[0]
+        want.append((brute_lcs(pattern.tolist(), text[inside].tolist()), decontaminate.matched_long(pattern, text, inside)[1][0]))
+    assert list(zip(*decontaminate.matched(marks, sizes), strict=True)) == want
+    space = decontaminate.Space(np.ones(50), rnd.random((50, 20)), np.arange(20.0))
+    assert space.project().flags.c_contiguous
+
+
 def test_leaks_reworded_and_odd(spark):
     rnd = random.Random(5)
     vocab = [f"word{i}" for i in range(300)]
